@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from recogna.plans import journal_queries, schedule_queries  # noqa: F401
+from recogna.plans import contract_queries, journal_queries, schedule_queries  # noqa: F401
 from recogna.plans.registry import COVERS, ORACLES, QUERIES  # noqa: F401
