@@ -1,7 +1,7 @@
 """Building blocks that stay distributed when one key owns a large part of the rows.
 
 Lines are never windowed by contract, customer or bundle: such a group has no size
-bound.  Totals are aggregated (map-side partial sums) and attached again, and ordered
+bound.  Totals are aggregated (map-side partial sums) and joined back, and ordered
 running values are built from blocks whose sizes are bounded.
 """
 
@@ -12,41 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SPREAD = 256
-
-
 def bucket(row_id: str) -> Column:
     """Stable two-digit hash of a row id, used as a leading tie-break (256 values)."""
     return F.substring(F.md5(F.col(row_id).cast("string").cast("binary")), 1, 2)
 
 
-def attach(
-    rows: DataFrame,
-    totals: DataFrame,
-    keys: Sequence[str],
-    count_col: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Left-join one total row per key onto ``rows`` without piling a hot key on one task.
+def attach(rows: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left-join one total row per key onto ``rows``.
 
-    ``totals`` has one row per key and ``count_col`` holds the number of rows of that key.
-    Keys above ``hot_rows`` travel as a broadcast: there can be at most
-    total rows / hot_rows of them, whatever the data.  Their rows get a salt, so the
-    shuffle for the remaining keys spreads them evenly.
+    The row side may hold a third of all rows under one key.  Both sides are read through
+    an adaptive sort-merge or hash join, which splits an oversized partition of the row
+    side by map output and repeats the single total row (see ``session.tune``); totals
+    small enough for Spark's own size check are broadcast instead.
     """
-    keys = list(keys)
-    values = [c for c in totals.columns if c not in keys]
-    packed = F.struct(*values)
-    hot = F.broadcast(totals.where(F.col(count_col) > hot_rows).select(*keys, packed.alias("_hot")))
-    cold = totals.where(F.col(count_col) <= hot_rows).select(*keys, F.lit(0).alias("_salt"), packed.alias("_cold"))
-    spread_by = [c for c in rows.columns if c not in keys] or keys
-    salt = F.when(F.col("_hot").isNull(), 0).otherwise(
-        (F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1).cast("int")
-    )
-    joined = rows.join(hot, keys, "left").withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
-    total = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*rows.columns, *[total[c].alias(c) for c in values])
+    return rows.join(totals, list(keys), "left").select(*rows.columns, *[c for c in totals.columns if c not in keys])
 
 
 def running_before(

@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recogna.functions.scalars import clean_key, greatest_strict, replace_segment
+from recogna.functions.scalars import greatest_strict, replace_segment
 from recogna.functions.skew import attach
-from recogna.session import ensure_checkpoint_dir
+from recogna.session import cut
 
 # fixed values: sales actions and the license items whose dates are aligned
 DATED_ACTIONS = ("NEW", "UPGRADE", "DOWNGRADE", "RENEWAL")
@@ -36,10 +36,10 @@ def prepare_bundles(stage: DataFrame) -> DataFrame:
     firsts = (
         renewed.where(aligned & F.col("inv_num").isNotNull() & F.col("entitlement").isNotNull())
         .groupBy(*keys)
-        .agg(greatest_strict(F.min(doc_day), F.min("start_date")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(greatest_strict(F.min(doc_day), F.min("start_date")).alias("_first"), F.lit(True).alias("_grouped"))
     )
-    dated = attach(renewed, firsts, keys, "_n").withColumn(
-        "start_date", F.when(aligned & F.col("_n").isNotNull(), F.col("_first")).otherwise(F.col("start_date"))
+    dated = attach(renewed, firsts, keys).withColumn(
+        "start_date", F.when(aligned & F.col("_grouped"), F.col("_first")).otherwise(F.col("start_date"))
     )
     rewrite = (
         (F.coalesce("bundle_config", F.lit(0)) != 0) & (F.coalesce("rc_id", F.lit(0)) != 0) & F.col("segment4").isNotNull()
@@ -53,7 +53,7 @@ def prepare_bundles(stage: DataFrame) -> DataFrame:
             "end_date": F.when(~F.coalesce(order_child | bill_child, F.lit(False)), F.col("end_date")),
             "credit_rule": F.when(~F.coalesce(bill_child, F.lit(False)), F.col("credit_rule")),
         }
-    ).drop("_first", "_n")
+    ).drop("_first", "_grouped")
 
 
 def validate_stage(stage: DataFrame, items: DataFrame) -> DataFrame:
@@ -261,7 +261,6 @@ def lineage(bills: DataFrame, seeds: DataFrame) -> DataFrame:
     visits an invoice once, so the walk ends on cyclic references too.  One level is one
     join; levels are cut with checkpoints so lost executors do not replay the whole walk.
     """
-    ensure_checkpoint_dir(bills.sparkSession)
     inv = bills.where(
         (F.col("type") == "INV") & (F.col("rc_id") > 0) & (F.col("doc_num") != F.coalesce("orig_doc_num", F.lit("X")))
     ).select("doc_num", "orig_doc_num", "rc_id", "start_date", "end_date").distinct()
@@ -275,15 +274,13 @@ def lineage(bills: DataFrame, seeds: DataFrame) -> DataFrame:
             .distinct()
         )
 
-    level, depth = follow(seeds.where("orig_doc_num IS NOT NULL")).checkpoint(), 1
+    level, depth = cut(follow(seeds.where("orig_doc_num IS NOT NULL"))), 1
     found = [level.withColumn("depth", F.lit(1))]
     while not level.where("orig_doc_num IS NOT NULL").isEmpty():
         depth += 1
         visited = reduce(DataFrame.unionByName, found).select("seed_id", "doc_num", "rc_id")
-        level = (
-            follow(level.where("orig_doc_num IS NOT NULL"))
-            .join(visited, ["seed_id", "doc_num", "rc_id"], "left_anti")
-            .checkpoint()
+        level = cut(
+            follow(level.where("orig_doc_num IS NOT NULL")).join(visited, ["seed_id", "doc_num", "rc_id"], "left_anti")
         )
         found.append(level.withColumn("depth", F.lit(depth)))
     return reduce(DataFrame.unionByName, found).select("seed_id", "doc_num", "orig_doc_num", "rc_id", "depth")
@@ -359,19 +356,16 @@ def merge_by_key(links: DataFrame) -> DataFrame:
     are shortened by following the label's own label, so the number of rounds grows with
     the logarithm of the longest chain.  No pair of contracts is ever built.
     """
-    spark = links.sparkSession
-    ensure_checkpoint_dir(spark)
-    edges = links.where("rc_id > 0 AND key IS NOT NULL").select("rc_id", "key").distinct().checkpoint()
-    labels = edges.groupBy("rc_id").agg(F.count(F.lit(1)).alias("n")).select("rc_id", F.col("rc_id").alias("label"))
+    edges = cut(links.where("rc_id > 0 AND key IS NOT NULL").select("rc_id", "key").distinct())
+    labels = edges.select("rc_id", F.col("rc_id").alias("label")).distinct()
     while True:
-        by_key = edges.join(labels, "rc_id").groupBy("key").agg(F.min("label").alias("key_label"), F.count(F.lit(1)).alias("n"))
-        spread = attach(edges, by_key, ["key"], "n").groupBy("rc_id").agg(F.min("key_label").alias("label"))
+        by_key = edges.join(labels, "rc_id").groupBy("key").agg(F.min("label").alias("key_label"))
+        spread = attach(edges, by_key, ["key"]).groupBy("rc_id").agg(F.min("key_label").alias("label"))
         jump = spread.select(F.col("rc_id").alias("label"), F.col("label").alias("next"))
-        merged = (
+        merged = cut(
             spread.join(jump, "label", "left")
             .join(labels.withColumnRenamed("label", "old"), "rc_id")
             .select("rc_id", F.least("label", F.coalesce("next", "label")).alias("label"), "old")
-            .checkpoint()
         )
         labels = merged.select("rc_id", "label")
         if merged.where("label <> old").isEmpty():

@@ -37,19 +37,25 @@ def ledger_balance(
     balances: dict[str, Sequence[str]],
     prd: int,
     key: str = "line_id",
-    unbilled_only: bool = False,
+    unbilled: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Credit minus debit per key up to ``prd``, one column per set of account names."""
+    """Credit minus debit per key up to ``prd``, one column per set of account names.
+
+    ``unbilled`` sets count unbilled entries only; all columns come from one pass.
+    """
+    is_unbilled = flag_at(F.col("indicators"), 4) == "Y"
     rows = schedules.where(F.col("prd_id") <= prd)
-    if unbilled_only:
-        rows = rows.where(flag_at(F.col("indicators"), 4) == "Y")
-    named = both_sides(rows.select(key, "amount", "dr_acct", "cr_acct")).join(
+    if not balances:
+        rows = rows.where(is_unbilled)
+    wanted = [(out, names, F.lit(True)) for out, names in balances.items()]
+    wanted += [(out, names, is_unbilled) for out, names in (unbilled or {}).items()]
+    named = both_sides(rows.select(key, "amount", "dr_acct", "cr_acct", "indicators")).join(
         F.broadcast(accounts.select("acct_type_id", "acct_name")), "acct_type_id"
     )
     return named.groupBy(key).agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("acct_name").isin(*names), F.col("net"))), F.lit(0)).cast("decimal(18,2)").alias(out)
-            for out, names in balances.items()
+            F.coalesce(F.sum(F.when(F.col("acct_name").isin(*names) & only, F.col("net"))), F.lit(0)).cast("decimal(18,2)").alias(out)
+            for out, names, only in wanted
         ]
     )
 

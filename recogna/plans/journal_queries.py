@@ -24,22 +24,21 @@ ub AS (SELECT line_id, CAST(coalesce(sum(CASE WHEN acct_name = 'Revenue' THEN ne
  FROM ledger JOIN acct USING (acct_type_id) WHERE prd_id <= {OPEN} AND unbilled_flag = 'Y' GROUP BY line_id)"""
 
 
-def _balances(spark, d):
-    sc = model.schedules(spark, d)
-    acct = model.account_types(spark)
-    ledger = J.ledger_balance(sc, acct, BALANCES, OPEN)
-    unbilled = J.ledger_balance(sc, acct, {"unbilled": ("Revenue",)}, OPEN, unbilled_only=True)
-    return ledger, unbilled
+UNBILLED = {"unbilled": ("Revenue",)}
+
+
+def _balances(spark, d, balances=BALANCES, unbilled=None):
+    return J.ledger_balance(model.schedules(spark, d), model.account_types(spark), balances, OPEN, unbilled=unbilled)
 
 
 @query("ledger_balance", "JE1", "J14", "AG1", sql=duck("ledger acct", "SELECT * FROM bal", _BAL))
 def ledger_balance(spark, d):
-    return _balances(spark, d)[0]
+    return _balances(spark, d)
 
 
 @query("unbilled_balance", "JE2", sql=duck("ledger acct", "SELECT * FROM ub", _BAL))
 def unbilled_balance(spark, d):
-    return _balances(spark, d)[1]
+    return _balances(spark, d, {}, UNBILLED)
 
 
 @query(
@@ -70,10 +69,10 @@ pos AS (SELECT rc_id, prod_ctgry, CAST(total_billed AS DECIMAL(18,2)) AS total_b
 
 
 def positions(spark, d):
-    ledger, unbilled = _balances(spark, d)
+    ledger = _balances(spark, d, unbilled=UNBILLED)
     ln = model.lines(spark, d, "rc_id", "line_id", "prod_ctgry", "alctd_xt_prc", "bld_def_amt", "bld_rec_amt", "eligible").where("eligible = 'Y'")
     ln = ln.withColumn("billed", F.col("bld_def_amt") + F.col("bld_rec_amt"))
-    return J.expected_positions(ln, ledger.join(unbilled, "line_id", "full"))
+    return J.expected_positions(ln, ledger)
 
 
 @query(

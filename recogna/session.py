@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -13,17 +13,36 @@ def build_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Runtime settings the jobs count on: adaptive plans that split hot join partitions.
+
+    Joining totals back to lines is often followed by another grouping on the same key;
+    ``forceOptimizeSkewedJoin`` lets Spark split the hot partition there as well.
+    """
+    for key, value in {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }.items():
+        spark.conf.set(key, value)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise a frame several branches read, in the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative jobs cut lineage with ``checkpoint()``.
 
