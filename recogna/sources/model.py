@@ -197,3 +197,40 @@ def schedules(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return src.withColumn("e", F.explode(entries)).select(
         "rc_id", "line_id", F.col("line_id").alias("root_line_id"), "e.*", *extra
     )
+
+
+# base amounts of an account summary row; each exists per currency
+SUMMARY_AMOUNTS = (
+    "at", "ps", "un", "bb", "ad", "rl", "eb", "nt", "nt_rl", "rt_ar", "ca_im",
+    "at_qt", "rt_ar_qt", "bb_qt", "ad_qt", "rl_qt", "ca_im_qt",
+    "at_yt", "rt_ar_yt", "bb_yt", "ad_yt", "rl_yt", "ca_im_yt",
+    "at_ut", "bb_ut", "ad_ut", "rl_ut", "ca_im_ut",
+)
+
+
+def account_summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account-period summary: one account type per line, valid for one to three periods."""
+    src = lines(spark, sf_dir, "rc_id", "line_id", "line_num", "supp_key", "start_date", "ext_sll_prc", "f_ex_rate", "g_ex_rate", "discount_pct")
+    kinds = F.array(*[F.lit(k) for k in ("R", "X", "L", "A", "U", "T", "B")])
+    price, f, g = F.col("ext_sll_prc"), F.col("f_ex_rate"), F.col("g_ex_rate")
+    amounts = []
+    for i, name in enumerate(SUMMARY_AMOUNTS):
+        t = F.round(price * F.lit(f"{i + 1}").cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)"), 2).cast("decimal(18,2)")
+        amounts += [
+            t.alias(f"t_{name}"),
+            F.round(t * f, 2).cast("decimal(18,2)").alias(f"f_{name}"),
+            F.round(t * f * g, 2).cast("decimal(18,2)").alias(f"r_{name}"),
+        ]
+    start = F.col("start_date")
+    return src.select(
+        "rc_id", "line_id", F.col("line_id").alias("root_line_id"), F.lit(1).alias("book_id"),
+        F.get(kinds, F.pmod(F.col("line_num") + F.col("supp_key"), F.lit(7)).cast("int")).alias("acct_type_id"),
+        F.concat(F.lit("SEG-"), F.col("supp_key") % 3).alias("acct_segs"),
+        F.when(F.col("discount_pct") == 9, "M").when(F.col("discount_pct") == 10, "D").otherwise("S").alias("schd_type"),
+        period_of(start).alias("prd_id"),
+        F.last_day(start).alias("valid_from"),
+        F.last_day(F.add_months(start, F.pmod(F.col("line_num"), F.lit(3)).cast("int"))).alias("valid_until"),
+        F.last_day(F.add_months(F.to_date(F.date_trunc("quarter", start)), 2)).alias("pd_qt_ed_dt"),
+        F.make_date(F.year(start), F.lit(12), F.lit(31)).alias("pd_yr_ed_dt"),
+        *amounts,
+    )
