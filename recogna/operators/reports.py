@@ -64,7 +64,7 @@ def up_to_date(value: Column) -> Column:
 GATES = {"": in_period, "_qt": in_quarter, "_yt": in_year}
 
 
-def insight_measures(currencies: Sequence[str] = CURRENCIES) -> dict[str, Column]:
+def insight_measures(currencies: Sequence[str] = CURRENCIES, amount_type: str = "decimal(18,2)") -> dict[str, Column]:
     """Every measure of the line-account report by output name.
 
     A measure is an account test, a period gate and a base amount; families repeat over
@@ -77,7 +77,7 @@ def insight_measures(currencies: Sequence[str] = CURRENCIES) -> dict[str, Column
         b = lambda name, c=c: F.col(f"{c}_{name}")
 
         def put(name: str, test: Column, value: Column, c: str = c) -> None:
-            out[f"{c}_{name}"] = F.when(test, value).otherwise(0).cast("decimal(28,2)")
+            out[f"{c}_{name}"] = F.when(test, value).otherwise(0).cast(amount_type)
 
         for scope, test in (("tl_", cls.isin(*REVENUE)), ("", cls == "REC"), ("ar_", cls == "EREC")):
             tag = "ar" if scope == "ar_" else f"{scope}at"
@@ -150,7 +150,7 @@ def line_account_summary(
     if latest is not None:
         keys = ["root_line_id", "acct_type_id", "acct_segs", "cal_prd_id"]
         rows = rows.join(latest.select(*[F.col(k) for k in keys], "lt_t_bal", "lt_f_bal", "lt_r_bal"), keys, "left")
-        balances = [F.coalesce(c, F.lit(0)).cast("decimal(28,2)").alias(c) for c in ("lt_t_bal", "lt_f_bal", "lt_r_bal")]
+        balances = [F.coalesce(c, F.lit(0)).cast("decimal(18,2)").alias(c) for c in ("lt_t_bal", "lt_f_bal", "lt_r_bal")]
     spec = insight_measures()
     keep = spec if measures is None else {m: spec[m] for m in measures}
     return rows.select(
@@ -162,6 +162,22 @@ def line_account_summary(
     )
 
 
+def insight_totals(summary: DataFrame, calendar: DataFrame, groups: DataFrame) -> DataFrame:
+    """All measures summed per report period and account.
+
+    Every measure is a base amount behind tests on the account and on the row's own dates,
+    so rows that agree in those can be summed before they are spread over periods; the
+    explode and the several hundred measures then see a few rows per account and period.
+    """
+    amounts = [c for c in summary.columns if c[:2] in ("t_", "f_", "r_")]
+    keys = ["acct_type_id", "prd_id", "valid_from", "valid_until", "pd_qt_ed_dt", "pd_yr_ed_dt"]
+    summed = summary.where(F.col("schd_type") != "D").groupBy(*keys).agg(*[F.sum(a).cast("decimal(28,2)").alias(a) for a in amounts])
+    rows = interval_periods(summed, calendar, "valid_from", "valid_until").join(F.broadcast(groups), "acct_type_id")
+    return rows.groupBy("cal_prd_id", "acct_type_id").agg(
+        *[F.sum(v).cast("decimal(28,2)").alias(k) for k, v in insight_measures(amount_type="decimal(28,2)").items()]
+    )
+
+
 def account_measures() -> dict[str, Column]:
     """Sums of the account-level report over the line-account measures."""
     revenue = F.col("acct_group").isin("EREV", "REV") & (F.col("pl_flag") == "Y")

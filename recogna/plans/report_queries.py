@@ -47,7 +47,7 @@ def _measure_sql() -> dict[str, str]:
 
     def add(name: str, test: str, value: str) -> None:
         for c in ("t", "f", "r"):
-            out[f"{c}_{name}"] = f"CAST(CASE WHEN {test} THEN {value.replace('$', c + '_')} ELSE 0 END AS DECIMAL(28,2))"
+            out[f"{c}_{name}"] = f"CAST(CASE WHEN {test} THEN {value.replace('$', c + '_')} ELSE 0 END AS DECIMAL(18,2))"
 
     def gated(name: str, test: str, base: str, other: str = "0", sign: str = "") -> None:
         for suffix, g in (("", "p"), ("_qt", "q"), ("_yt", "y")):
@@ -123,7 +123,7 @@ def _latest(spark, d):
 @query(
     "line_account_summary", "RP7", "RP8", "J3", "J4", "SRC2",
     sql=duck("cal lines acct", f"""SELECT per.cal_prd_id, per.line_id, per.acct_type_id, acct_group, schd_type, {', '.join(f'{_MEASURES[m]} AS {m}' for m in LINE_COLUMNS)},
- CAST(CASE WHEN line_id LIKE '%5' AND cal_prd_id = prd_id THEN t_eb ELSE 0 END AS DECIMAL(28,2)) AS lt_t_bal FROM per""", _SUMMARY),
+ CAST(CASE WHEN line_id LIKE '%5' AND cal_prd_id = prd_id THEN t_eb ELSE 0 END AS DECIMAL(18,2)) AS lt_t_bal FROM per""", _SUMMARY),
 )
 def line_account_summary(spark, d):
     out = R.line_account_summary(*_insight_inputs(spark, d), latest=_latest(spark, d), measures=LINE_COLUMNS)
@@ -136,8 +136,7 @@ def line_account_summary(spark, d):
 )
 def insight_totals(spark, d):
     """All measures of all three currencies, summed per report period and account."""
-    detail = R.line_account_summary(*_insight_inputs(spark, d))
-    return detail.groupBy("cal_prd_id", "acct_type_id").agg(*[F.sum(m).cast("decimal(28,2)").alias(m) for m in R.insight_measures()])
+    return R.insight_totals(*_insight_inputs(spark, d))
 
 
 def _account_sql() -> str:

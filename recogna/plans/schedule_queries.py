@@ -251,7 +251,7 @@ def future_replacement(spark, d):
 
 
 _OOH = f"""act AS (SELECT line_id, prd_id, sum(amount) AS amount FROM schedules WHERE (schd_type = 'R' AND initial_flag <> 'Y') OR schd_type = 'A' GROUP BY ALL),
-skel AS (SELECT line_id, prd_id FROM lines l JOIN cal c ON c.end_date >= l.start_date AND c.start_date <= greatest(l.end_date, DATE '1999-06-30')),
+skel AS (SELECT line_id, prd_id FROM lines l JOIN cal c ON c.end_date >= l.start_date AND c.start_date <= l.end_date),
 dif AS (SELECT k.line_id, k.prd_id, coalesce(s.amount, 0) - coalesce(a.amount, 0) AS diff FROM skel k
  LEFT JOIN sched s ON s.line_id = k.line_id AND s.prd_id = k.prd_id LEFT JOIN act a ON a.line_id = k.line_id AND a.prd_id = k.prd_id),
 ooh AS (SELECT line_id, prd_id, CAST(diff + CASE WHEN prd_id = {OPEN} THEN coalesce(sum(CASE WHEN prd_id < {OPEN} THEN diff END) OVER (PARTITION BY line_id), 0) ELSE 0 END AS DECIMAL(18,2)) AS amount FROM dif)"""
@@ -260,9 +260,8 @@ ooh AS (SELECT line_id, prd_id, CAST(diff + CASE WHEN prd_id = {OPEN} THEN coale
 def _on_hand_inputs(spark, d):
     custom = custom_schedules(spark, d)
     actual = S.actual_schedules(model.schedules(spark, d)).select("line_id", "prd_id", "amount")
-    open_end = F.lit("1999-06-30").cast("date")
     windows = model.lines(spark, d, "line_id", "start_date", "end_date").select(
-        "line_id", F.col("start_date").alias("first_date"), F.greatest("end_date", open_end).alias("last_date")
+        "line_id", F.col("start_date").alias("first_date"), F.col("end_date").alias("last_date")
     )
     return custom, actual, windows
 
