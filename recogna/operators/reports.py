@@ -64,7 +64,9 @@ def up_to_date(value: Column) -> Column:
 GATES = {"": in_period, "_qt": in_quarter, "_yt": in_year}
 
 
-def insight_measures(currencies: Sequence[str] = CURRENCIES, amount_type: str = "decimal(18,2)") -> dict[str, Column]:
+def insight_measures(
+    wanted: Sequence[str] | None = None, currencies: Sequence[str] = CURRENCIES, amount_type: str = "decimal(18,2)"
+) -> dict[str, Column]:
     """Every measure of the line-account report by output name.
 
     A measure is an account test, a period gate and a base amount; families repeat over
@@ -73,61 +75,67 @@ def insight_measures(currencies: Sequence[str] = CURRENCIES, amount_type: str =
     """
     cls, acct = F.col("def_rec_flag"), F.col("acct_type_id")
     out: dict[str, Column] = {}
-    for c in currencies:
-        b = lambda name, c=c: F.col(f"{c}_{name}")
-
-        def put(name: str, test: Column, value: Column, c: str = c) -> None:
-            out[f"{c}_{name}"] = F.when(test, value).otherwise(0).cast(amount_type)
-
-        for scope, test in (("tl_", cls.isin(*REVENUE)), ("", cls == "REC"), ("ar_", cls == "EREC")):
-            tag = "ar" if scope == "ar_" else f"{scope}at"
-            for gate, fn in GATES.items():
-                put(f"{scope}at{gate}", test, fn(b(f"at{gate}")))
-            put(f"{tag}_ps", test, in_period(b("ps")))
-            put(f"{tag}_un", test, in_period(b("un")))
-        put("tl_at_ut", cls.isin(*REVENUE) & (acct != "S"), up_to_date(b("at_ut")))
-        put("rv_at_ut", cls == "REC", up_to_date(b("at_ut")))
-        put("ar_at_ut", cls == "EREC", up_to_date(b("at_ut")))
-        for gate, fn in GATES.items():
-            put(f"rt_ar{gate}", cls.isin(*REVENUE), fn(b(f"rt_ar{gate}")))
-            put(f"rt{gate}", cls == "REC", fn(b(f"rt_ar{gate}")))
-            put(f"ar_rt{gate}", cls == "EREC", fn(b(f"rt_ar{gate}")))
-        for scope, test in (("tl_", cls.isin(*DEFERRED)), ("", cls == "DEF"), ("al_", cls == "EDEF")):
-            tag = "al" if scope == "al_" else f"{scope}rl"
-            for gate, fn in GATES.items():
-                put(f"{scope}bb{gate}", test, fn(b(f"bb{gate}"), b("eb")))
-                put(f"{scope}ad{gate}", test, fn(b(f"ad{gate}")))
-                put(f"{scope}rl{gate}", test, fn(b(f"rl{gate}")))
-                put(f"{scope}ca_im{gate}", test, fn(-b(f"ca_im{gate}")))
-            put(f"{scope}eb", test, up_to_date(b("eb")))
-            put(f"{tag}_ps", test, in_period(b("ps")))
-            put(f"{tag}_un", test, in_period(b("un")))
-            put(f"{scope}nt", test, in_period(b("nt")))
-            put(f"{scope}nt_rl", test, in_period(b("nt_rl")))
-            for name in ("bb", "ad", "rl"):
-                put(f"{scope}{name}_ut", test, up_to_date(b(f"{name}_ut")))
-            put(f"{scope}ca_im_ut", test, -up_to_date(b("ca_im_ut")))
-        unbilled = acct == "U"
-        for gate, fn in GATES.items():
-            put(f"unbl_at{gate}", unbilled, fn(b(f"at{gate}")))
-        put("unbl_ps", unbilled, in_period(b("ps")))
-        put("unbl_un", unbilled, in_period(b("un")))
-        put("unbl_at_ut", unbilled, up_to_date(b("at_ut")))
-        put("unbl_utd", acct.isin("U", "Z"), up_to_date(b("eb")))
-        put("contra_rl_ut", acct == "T", up_to_date(b("rl_ut")))
-        variable = F.col("vc_flag") == "Y"
-        clears = variable & (F.col("vc_clr_flag") == "Y")
-        for gate in GATES:
-            for name in ("bb", "ad", "rl"):
-                put(f"vc_{name}{gate}", variable, b(f"{name}{gate}"))
-            put(f"vc_clm{gate}", clears, b(f"rl{gate}"))
-        put("vc_eb", variable, b("eb"))
-        put("vc_un", variable, b("un"))
-        put("vc_ps", variable, b("ps"))
-        put("tl_vc_ut", variable, b("at_ut"))
-        if c != "r":
-            billing = (cls == "DEF") & (F.col("incl_netting_flag") == "Y") & (F.col("payables_acct_flag") != "Y")
-            put("cum_bill_utd", billing, up_to_date(b("ad_ut")))
+
+    def put(name: str, test: Column, gate, base: str, other: str | None = None, sign: int = 1) -> None:
+        """Register the measure for every currency that is asked for."""
+        for c in currencies:
+            full = f"{c}_{name}"
+            if wanted is not None and full not in wanted:
+                continue
+            value = F.col(f"{c}_{base}")
+            value = gate(-value if sign < 0 else value, *([F.col(f"{c}_{other}")] if other else []))
+            out[full] = F.when(test, value).otherwise(0).cast(amount_type)
+
+    as_is = lambda v: v
+    for scope, test in (("tl_", cls.isin(*REVENUE)), ("", cls == "REC"), ("ar_", cls == "EREC")):
+        tag = "ar" if scope == "ar_" else f"{scope}at"
+        for suffix, gate in GATES.items():
+            put(f"{scope}at{suffix}", test, gate, f"at{suffix}")
+        put(f"{tag}_ps", test, in_period, "ps")
+        put(f"{tag}_un", test, in_period, "un")
+    put("tl_at_ut", cls.isin(*REVENUE) & (acct != "S"), up_to_date, "at_ut")
+    put("rv_at_ut", cls == "REC", up_to_date, "at_ut")
+    put("ar_at_ut", cls == "EREC", up_to_date, "at_ut")
+    for suffix, gate in GATES.items():
+        put(f"rt_ar{suffix}", cls.isin(*REVENUE), gate, f"rt_ar{suffix}")
+        put(f"rt{suffix}", cls == "REC", gate, f"rt_ar{suffix}")
+        put(f"ar_rt{suffix}", cls == "EREC", gate, f"rt_ar{suffix}")
+    for scope, test in (("tl_", cls.isin(*DEFERRED)), ("", cls == "DEF"), ("al_", cls == "EDEF")):
+        tag = "al" if scope == "al_" else f"{scope}rl"
+        for suffix, gate in GATES.items():
+            put(f"{scope}bb{suffix}", test, gate, f"bb{suffix}", other="eb")
+            put(f"{scope}ad{suffix}", test, gate, f"ad{suffix}")
+            put(f"{scope}rl{suffix}", test, gate, f"rl{suffix}")
+            put(f"{scope}ca_im{suffix}", test, gate, f"ca_im{suffix}", sign=-1)
+        put(f"{scope}eb", test, up_to_date, "eb")
+        put(f"{tag}_ps", test, in_period, "ps")
+        put(f"{tag}_un", test, in_period, "un")
+        put(f"{scope}nt", test, in_period, "nt")
+        put(f"{scope}nt_rl", test, in_period, "nt_rl")
+        for name in ("bb", "ad", "rl"):
+            put(f"{scope}{name}_ut", test, up_to_date, f"{name}_ut")
+        put(f"{scope}ca_im_ut", test, up_to_date, "ca_im_ut", sign=-1)
+    unbilled = acct == "U"
+    for suffix, gate in GATES.items():
+        put(f"unbl_at{suffix}", unbilled, gate, f"at{suffix}")
+    put("unbl_ps", unbilled, in_period, "ps")
+    put("unbl_un", unbilled, in_period, "un")
+    put("unbl_at_ut", unbilled, up_to_date, "at_ut")
+    put("unbl_utd", acct.isin("U", "Z"), up_to_date, "eb")
+    put("contra_rl_ut", acct == "T", up_to_date, "rl_ut")
+    variable = F.col("vc_flag") == "Y"
+    clears = variable & (F.col("vc_clr_flag") == "Y")
+    for suffix in GATES:
+        for name in ("bb", "ad", "rl"):
+            put(f"vc_{name}{suffix}", variable, as_is, f"{name}{suffix}")
+        put(f"vc_clm{suffix}", clears, as_is, f"rl{suffix}")
+    put("vc_eb", variable, as_is, "eb")
+    put("vc_un", variable, as_is, "un")
+    put("vc_ps", variable, as_is, "ps")
+    put("tl_vc_ut", variable, as_is, "at_ut")
+    billing = (cls == "DEF") & (F.col("incl_netting_flag") == "Y") & (F.col("payables_acct_flag") != "Y")
+    put("cum_bill_utd", billing, up_to_date, "ad_ut")
+    out.pop("r_cum_bill_utd", None)  # cumulative billing exists in two currencies only
     return out
 
 
@@ -151,8 +159,7 @@ def line_account_summary(
         keys = ["root_line_id", "acct_type_id", "acct_segs", "cal_prd_id"]
         rows = rows.join(latest.select(*[F.col(k) for k in keys], "lt_t_bal", "lt_f_bal", "lt_r_bal"), keys, "left")
         balances = [F.coalesce(c, F.lit(0)).cast("decimal(18,2)").alias(c) for c in ("lt_t_bal", "lt_f_bal", "lt_r_bal")]
-    spec = insight_measures()
-    keep = spec if measures is None else {m: spec[m] for m in measures}
+    keep = insight_measures(measures)
     return rows.select(
         "cal_prd_id", "period_name", "rc_id", "line_id", "root_line_id", "acct_type_id", "acct_segs", "acct_name",
         F.coalesce("acct_group", F.lit("UNKNOWN")).alias("acct_group"), "pl_flag", "vc_flag", "cost_flag",

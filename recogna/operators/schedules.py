@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recogna.functions.scalars import flag_at, inclusive_days, period_of, shift_period
+from recogna.functions.scalars import flag_at, inclusive_days, period_of, period_start, shift_period
 from recogna.sources.calendar import MONTH_LENGTHS, prior_period_ids
 
 
@@ -49,13 +49,10 @@ def _prorated(days: Column, total: Column, span: Column) -> Column:
     return F.greatest(F.call_function("div", days * total * 2 + span, span * 2), F.lit(1).cast("bigint"))
 
 
-def _cumulative(first_part: Column, total: Column, span: Column, at: str, begin: str) -> Column:
+def _cumulative(at: str, begin: str) -> Column:
     """Uncapped units recognised up to the period whose calendar counts are ``{at}c28..c31``."""
-    full = [
-        (F.col(f"{at}c{n}") - F.col(f"{begin}c{n}")) * _prorated(F.lit(n).cast("bigint"), total, span)
-        for n in MONTH_LENGTHS
-    ]
-    return first_part + reduce(lambda a, b: a + b, full)
+    full = [(F.col(f"{at}c{n}") - F.col(f"{begin}c{n}")) * F.col(f"_full{n}") for n in MONTH_LENGTHS]
+    return F.col("_first") + reduce(lambda a, b: a + b, full)
 
 
 def _calendar_as(calendar: DataFrame, prefix: str, *more: str) -> DataFrame:
@@ -98,24 +95,32 @@ def recognize(
         period_of(F.col(start)).alias("_b_prd_id"),
         period_of(F.col(end)).alias("_last_prd"),
     )
-    base = base.join(_calendar_as(calendar, "_b_", "end_date"), "_b_prd_id").withColumn(
-        "_first", _prorated(inclusive_days(F.col(start), F.col("_b_end_date")).cast("bigint"), F.col("_total"), F.col("_span"))
+    # everything that depends on the line alone is computed before the rows multiply
+    base = base.join(_calendar_as(calendar, "_b_", "end_date"), "_b_prd_id").withColumns(
+        {
+            "_first": _prorated(inclusive_days(F.col(start), F.col("_b_end_date")).cast("bigint"), F.col("_total"), F.col("_span")),
+            **{f"_full{n}": _prorated(F.lit(n).cast("bigint"), F.col("_total"), F.col("_span")) for n in MONTH_LENGTHS},
+        }
     )
     from_prd = F.greatest(F.col("_b_prd_id"), open_p)
     to_prd = F.greatest(F.col("_last_prd"), open_p)
-    month_of = lambda p: F.make_date((p / 100).cast("int"), p % 100, F.lit(1))
-    rows = base.withColumn("_month", F.explode(F.sequence(month_of(from_prd), month_of(to_prd), F.expr("interval 1 month"))))
-    rows = rows.withColumn("_p_prd_id", period_of(F.col("_month"))).withColumn(
-        "_q_prd_id", period_of(F.add_months(F.col("_month"), -1))
+    rows = base.withColumn(
+        "_month", F.explode(F.sequence(period_start(from_prd), period_start(to_prd), F.expr("interval 1 month")))
     )
-    rows = rows.join(_calendar_as(calendar, "_p_"), "_p_prd_id").join(_calendar_as(calendar, "_q_"), "_q_prd_id", "left")
+    rows = rows.withColumn("_p_prd_id", period_of(F.col("_month"))).join(_calendar_as(calendar, "_p_", "end_date"), "_p_prd_id")
 
     def capped(at: str) -> Column:
-        run = _cumulative(F.col("_first"), F.col("_total"), F.col("_span"), at, "_b_")
-        return F.least(run, F.col("_total"))
+        return F.least(_cumulative(at, "_b_"), F.col("_total"))
 
+    own = reduce(
+        lambda acc, n: acc.when(F.dayofmonth("_p_end_date") == n, F.col(f"_full{n}")),
+        MONTH_LENGTHS[1:],
+        F.when(F.dayofmonth("_p_end_date") == MONTH_LENGTHS[0], F.col(f"_full{MONTH_LENGTHS[0]}")),
+    )
     done = F.when(F.col("_p_prd_id") >= F.col("_last_prd"), F.col("_total")).otherwise(capped("_p_"))
-    before = F.when(F.col("_p_prd_id") == from_prd, F.lit(0).cast("bigint")).otherwise(capped("_q_"))
+    before = F.when(F.col("_p_prd_id") == from_prd, F.lit(0).cast("bigint")).otherwise(
+        F.least(_cumulative("_p_", "_b_") - own, F.col("_total"))
+    )
     rows = rows.withColumn("_units", done - before).where(F.col("_units") > 0)
 
     def back(units: Column) -> Column:
@@ -164,7 +169,7 @@ def recognize_prospective(
     Consumed days over all days times the value, less what is already scheduled, goes to
     the open period; the remainder is recognised from the following month on.
     """
-    open_start = F.make_date(F.lit(open_prd // 100), F.lit(open_prd % 100), F.lit(1))
+    open_start = period_start(F.lit(open_prd))
     total_days = inclusive_days(F.col(start), F.col(end))
     until = F.when(F.col(end) <= open_start, F.col(end)).otherwise(F.last_day(open_start))
     value, past = F.col(amount), F.col(scheduled)
@@ -277,24 +282,37 @@ def order_on_hand(
     """Custom minus actual amount per line and period of the line's window.
 
     The differences of periods before the open one are kept and also carried into the
-    open one; zero differences are kept.  Amounts are summed per line and period first,
-    so the per-line window never exceeds the calendar.
+    open one; zero differences are kept.  Amounts are summed per line and period first, so
+    the map that gathers a line's periods never exceeds the calendar, and the window's
+    months are generated from it without another shuffle.
     """
+    signed = custom.select("line_id", "prd_id", F.col("amount").cast("decimal(18,2)").alias("amount")).unionByName(
+        actual.select("line_id", "prd_id", (-F.col("amount")).cast("decimal(18,2)").alias("amount"))
+    )
+    per_period = signed.groupBy("line_id", "prd_id").agg(F.sum("amount").cast("decimal(18,2)").alias("diff"))
+    per_line = per_period.groupBy("line_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("prd_id", "diff"))).alias("diffs")
+    )
     month = lambda c: F.to_date(F.date_trunc("month", c))
-    skeleton = windows.select(
-        "line_id",
-        F.explode(F.sequence(month("first_date"), month("last_date"), F.expr("interval 1 month"))).alias("m"),
-    ).select("line_id", period_of(F.col("m")).alias("prd_id"))
-    in_calendar = skeleton.join(F.broadcast(calendar.select("prd_id")), "prd_id", "left_semi")
-    signed = (
-        custom.select("line_id", "prd_id", F.col("amount").cast("decimal(18,2)").alias("amount"), F.lit(0).alias("in_window"))
-        .unionByName(actual.select("line_id", "prd_id", (-F.col("amount")).cast("decimal(18,2)").alias("amount"), F.lit(0).alias("in_window")))
-        .unionByName(in_calendar.select("line_id", "prd_id", F.lit(0).cast("decimal(18,2)").alias("amount"), F.lit(1).alias("in_window")))
+    zero = F.lit(0).cast("decimal(18,2)")
+    first = period_of(F.col("first_date"))
+    last = period_of(F.col("last_date"))
+    earlier = F.map_filter(
+        F.col("diffs"), lambda prd, _: prd.between(F.col("_first"), F.least(F.col("_last"), F.lit(open_prd - 1)))
+    )
+    carried = F.aggregate(F.map_values(F.col("_earlier")), zero, lambda acc, v: (acc + v).cast("decimal(18,2)"))
+    rows = (
+        windows.select("line_id", "first_date", "last_date", first.alias("_first"), last.alias("_last"))
+        .join(per_line, "line_id", "left")
+        .withColumn("_earlier", earlier)
+        .withColumn("_carried", F.coalesce(carried, zero))
+        .withColumn("m", F.explode(F.sequence(month("first_date"), month("last_date"), F.expr("interval 1 month"))))
+        .withColumn("prd_id", period_of(F.col("m")))
     )
-    diff = signed.groupBy("line_id", "prd_id").agg(F.sum("amount").alias("diff"), F.max("in_window").alias("w")).where("w = 1")
-    earlier = F.sum(F.when(F.col("prd_id") < open_prd, F.col("diff"))).over(Window.partitionBy("line_id"))
-    carried = F.when(F.col("prd_id") == open_prd, F.coalesce(earlier, F.lit(0))).otherwise(0)
-    return diff.select("line_id", "prd_id", (F.col("diff") + carried).cast("decimal(18,2)").alias("amount"))
+    own = F.coalesce(F.try_element_at("diffs", F.col("prd_id")), zero)
+    amount = own + F.when(F.col("prd_id") == open_prd, F.col("_carried")).otherwise(zero)
+    in_calendar = rows.join(F.broadcast(calendar.select("prd_id")), "prd_id", "left_semi")
+    return in_calendar.select("line_id", "prd_id", amount.cast("decimal(18,2)").alias("amount"))
 
 
 def replace_future(history: DataFrame, fresh: DataFrame, open_prd: int) -> DataFrame:
@@ -329,7 +347,7 @@ def generate_schedules(
         .withColumn("_on_hold", F.coalesce("_hold", F.lit(False)))
         .withColumn("_has_schedule", F.col("_version").isNotNull())
     )
-    open_end = F.last_day(F.make_date(F.lit(open_prd // 100), F.lit(open_prd % 100), F.lit(1)))
+    open_end = F.last_day(period_start(F.lit(open_prd)))
     columns = ["line_id", "rc_id", "version", "prd_id"]
     held = state.where(F.col("_on_hold") & ~F.col("_has_schedule")).select(
         "line_id", "rc_id", F.lit(1).alias("version"), F.lit(open_prd).alias("prd_id"),
@@ -360,7 +378,7 @@ def waterfall_snapshot(
     active = active_actual.union(active_custom).distinct().join(has_custom, "line_id", "left_semi")
 
     def part(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy("line_id", "prd_id").agg(F.sum("amount").cast("decimal(18,2)").alias("amount")).withColumn("rev_type", F.lit(tag))
+        return df.select("line_id", "prd_id", F.col("amount").cast("decimal(18,2)").alias("amount"), F.lit(tag).alias("rev_type"))
 
     rows = part(actual, "REV").unionByName(part(custom, "NO")).unionByName(part(on_hand, "OOH"))
     return rows.join(active, "line_id", "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recogna.operators import schedules as S
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
+from recogna.session import cut
 from recogna.sources import model
 from recogna.sources.calendar import month_calendar
 
@@ -273,13 +274,15 @@ def order_on_hand(spark, d):
 
 
 SNAPSHOT_SQL = (_RECOGNIZE, _OOH, f"""active AS (SELECT line_id FROM act WHERE prd_id = {OPEN} UNION SELECT line_id FROM sched WHERE prd_id = {OPEN}),
-snap AS (SELECT line_id, prd_id, CAST(amount AS DECIMAL(18,2)) AS amount, 'REV' AS rev_type FROM act WHERE line_id IN (SELECT line_id FROM active) AND line_id IN (SELECT line_id FROM sched)
+snap AS (SELECT line_id, prd_id, amount, 'REV' AS rev_type FROM schedules WHERE ((schd_type = 'R' AND initial_flag <> 'Y') OR schd_type = 'A') AND line_id IN (SELECT line_id FROM active) AND line_id IN (SELECT line_id FROM sched)
  UNION ALL SELECT line_id, prd_id, amount, 'NO' FROM sched WHERE line_id IN (SELECT line_id FROM active)
  UNION ALL SELECT line_id, prd_id, amount, 'OOH' FROM ooh WHERE line_id IN (SELECT line_id FROM active) AND line_id IN (SELECT line_id FROM sched))""")
 
 
 def snapshot(spark, d):
     custom, actual, windows = _on_hand_inputs(spark, d)
+    # the job stores its schedules as a table; here three branches read them
+    custom = cut(custom)
     on_hand = S.order_on_hand(custom, actual, windows, month_calendar(spark), OPEN)
     return S.waterfall_snapshot(actual, custom, on_hand, OPEN)
 

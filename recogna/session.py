@@ -33,6 +33,8 @@ def tune(spark: SparkSession) -> None:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # hash instead of sort where every partition of the build side is known to be small
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     }.items():
         spark.conf.set(key, value)
 
