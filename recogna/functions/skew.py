@@ -17,15 +17,21 @@ def bucket(row_id: str) -> Column:
     return F.substring(F.md5(F.col(row_id).cast("string").cast("binary")), 1, 2)
 
 
-def attach(rows: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join one total row per key onto ``rows``.
+def attach(rows: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join one total row per key onto ``rows``, whose keys may be very uneven.
 
-    The row side may hold a third of all rows under one key.  Both sides are read through
-    an adaptive sort-merge or hash join, which splits an oversized partition of the row
-    side by map output and repeats the single total row (see ``session.tune``); totals
-    small enough for Spark's own size check are broadcast instead.
+    Adaptive execution splits an oversized partition of the row side, but only where both
+    join inputs come straight out of a shuffle.  Totals are an aggregate already
+    partitioned by the key, so a plain join would read them in place and leave the hot
+    partition whole.  Joining on the key and a hash of it as well gives the totals - one
+    row per key - a shuffle of their own.  Totals that pass Spark's size check are
+    broadcast instead.
     """
-    return rows.join(totals, list(keys), "left").select(*rows.columns, *[c for c in totals.columns if c not in keys])
+    keys = list(keys)
+    mark = F.hash(*[F.col(k).cast("string") for k in keys])
+    values = [c for c in totals.columns if c not in keys]
+    joined = rows.withColumn("_key_hash", mark).join(totals.withColumn("_key_hash", mark), [*keys, "_key_hash"], how)
+    return joined.select(*rows.columns, *values)
 
 
 def running_before(
@@ -71,7 +77,7 @@ def running_before(
         ],
     )
     by_row = Window.partitionBy(*block_key).orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
-    return base.join(blocks, block_key).select(
+    return attach(base, blocks, block_key, "inner").select(
         *rows.columns,
         *[
             combine(k, F.col(f"_before_block_{n}"), fold[k](f"_in_{n}").over(by_row)).alias(n)

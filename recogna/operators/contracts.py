@@ -76,7 +76,7 @@ def validate_stage(stage: DataFrame, items: DataFrame) -> DataFrame:
     )
     listed = items.select(F.col(items.columns[0]).alias("item_num")).distinct().withColumn("_listed", F.lit(True))
     move = open_row & (F.col("type") == "INV") & F.col("sales_action").isin("NEW", "UPGRADE", "DOWNGRADE") & F.col("_listed")
-    return tidy.join(listed, "item_num", "left").withColumn(
+    return attach(tidy, listed, ["item_num"]).withColumn(
         "start_date", F.when(move, greatest_strict(F.col("start_date"), F.col("inv_date"))).otherwise(F.col("start_date"))
     ).drop("_listed")
 
@@ -102,7 +102,7 @@ def tag_revisions(stage: DataFrame, contracts: DataFrame, lines: DataFrame, as_o
     )
     existing = lines.select(F.col("doc_line_id").alias("so_line_id")).distinct().withColumn("_exists", F.lit(True))
     return (
-        stage.join(revised, "rc_id", "left")
+        attach(stage, revised, ["rc_id"])
         .join(existing, "so_line_id", "left")
         .withColumn("orig_rc_id", F.when(F.col("_revised") & F.col("_exists").isNull() & (F.col("type") == "SO"), F.col("rc_id")))
         .drop("_revised", "_exists")
@@ -116,7 +116,7 @@ def flag_modifications(stage: DataFrame, lines: DataFrame) -> DataFrame:
     changed = numbered.where(F.col("sales_action").isin("UPGRADE", "DOWNGRADE")).select("so_num")
     added = numbered.where(F.col("sales_action") == "NEW").join(known, "_cn", "left_semi").select("so_num")
     orders = changed.union(added).distinct().withColumn("_mod", F.lit(True))
-    return stage.join(orders, "so_num", "left").withColumn("mod_flag", F.when(F.col("_mod"), "Y").otherwise(F.col("mod_flag"))).drop("_mod")
+    return attach(stage, orders, ["so_num"]).withColumn("mod_flag", F.when(F.col("_mod"), "Y").otherwise(F.col("mod_flag"))).drop("_mod")
 
 
 def skip_mixed_range(lines: DataFrame, batch: Column) -> DataFrame:
@@ -136,7 +136,7 @@ def skip_mixed_range(lines: DataFrame, batch: Column) -> DataFrame:
         .where("y = 1 AND n = 1")
         .select("mod_doc", "contract_num", F.lit("Y").alias("skip_mod"))
     )
-    return lines.join(mixed, ["mod_doc", "contract_num"], "left").withColumn("skip_mod", F.coalesce("skip_mod", F.lit("N")))
+    return attach(lines, mixed, ["mod_doc", "contract_num"]).withColumn("skip_mod", F.coalesce("skip_mod", F.lit("N")))
 
 
 def _siblings(lines: DataFrame, in_range: str, prefix: str) -> DataFrame:
@@ -161,15 +161,15 @@ def route_in_range(lines: DataFrame) -> DataFrame:
     """
     keyed = _keyed(lines)
     others = _siblings(keyed, "N", "out")
+    movable = keyed.where(
+        F.col("orig_rc_id").isNotNull()
+        & (F.col("eligible") == "Y")
+        & (F.col("in_range") == "Y")
+        & (F.coalesce("bundle_parent", F.lit("X")) != F.col("line_id"))
+        & F.col("err_msg").isNull()
+    )
     return (
-        keyed.where(
-            F.col("orig_rc_id").isNotNull()
-            & (F.col("eligible") == "Y")
-            & (F.col("in_range") == "Y")
-            & (F.coalesce("bundle_parent", F.lit("X")) != F.col("line_id"))
-            & F.col("err_msg").isNull()
-        )
-        .join(others, ["batch_id", "contract_key", "mod_doc"])
+        attach(movable, others, ["batch_id", "contract_key", "mod_doc"], "inner")
         .where((F.col("out_lo") != F.col("rc_id")) | (F.col("out_hi") != F.col("rc_id")))
         .select("line_id", F.col("rc_id").alias("source_rc"), F.col("orig_rc_id").alias("target_rc"), F.lit("IN-RANGE").alias("rule"))
     )
@@ -187,12 +187,12 @@ def route_non_eligible(lines: DataFrame) -> DataFrame:
     fitting = _siblings(keyed, "Y", "in")
     own_out = keyed.where((F.col("eligible") == "Y") & (F.col("in_range") == "N")).select(*key, "rc_id").distinct()
     target = F.when(F.col("in_lo") != F.col("rc_id"), F.col("in_lo")).otherwise(F.col("in_hi"))
+    stranded = keyed.where(
+        F.col("orig_rc_id").isNotNull() & (F.col("eligible") == "N") & (F.col("in_range") == "N") & F.col("err_msg").isNull()
+    )
+    alone = attach(stranded, own_out.withColumn("_own", F.lit(True)), [*key, "rc_id"]).where("_own IS NULL").drop("_own")
     return (
-        keyed.where(
-            F.col("orig_rc_id").isNotNull() & (F.col("eligible") == "N") & (F.col("in_range") == "N") & F.col("err_msg").isNull()
-        )
-        .join(own_out, [*key, "rc_id"], "left_anti")
-        .join(fitting, key)
+        attach(alone, fitting, key, "inner")
         .withColumn("target_rc", target)
         .where(F.col("target_rc") != F.col("rc_id"))
         .select("line_id", F.col("rc_id").alias("source_rc"), "target_rc", F.lit("NON-ELIGIBLE").alias("rule"))
@@ -245,8 +245,7 @@ def upgrade_seeds(bills: DataFrame, keep: list[str]) -> DataFrame:
         F.max(F.when(F.upper("sales_action") != "UPGRADE", F.col("end_date"))).alias("_until"),
     )
     return (
-        inv.where(upgrade)
-        .join(originals, "orig_doc_num")
+        attach(inv.where(upgrade), originals, ["orig_doc_num"], "inner")
         .where((F.col("_up") == 1) | (F.col("start_date") < F.col("_until")))
         .select(*keep)
         .distinct()
@@ -321,7 +320,7 @@ def merge_lineage(members: DataFrame, bills: DataFrame) -> DataFrame:
     first_doc = bills.where("type = 'INV'").groupBy("rc_id").agg(F.min("doc_date").alias("doc_date"))
     targets = members.join(first_doc, "rc_id").groupBy("seed_id").agg(F.min(F.struct("doc_date", "rc_id")).alias("t"))
     return (
-        members.join(targets.select("seed_id", F.col("t.rc_id").alias("target_rc")), "seed_id")
+        attach(members, targets.select("seed_id", F.col("t.rc_id").alias("target_rc")), ["seed_id"], "inner")
         .where(F.col("rc_id") != F.col("target_rc"))
         .select("seed_id", F.col("rc_id").alias("source_rc"), "target_rc")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recogna.functions.scalars import account_class, flag_at, number_or, with_flag
-from recogna.functions.skew import running_before
+from recogna.functions.skew import attach, running_before
 
 # fixed values: category names with their own rules
 LICENSE = ("LICENSE - TERM", "LICENSE - PERPETUAL")
@@ -178,7 +178,7 @@ def mark_consistency(journal: DataFrame, positions: DataFrame) -> DataFrame:
         .where("u <> v")
         .select("rc_id", F.lit("N").alias("consistent"))
     )
-    return journal.join(bad, "rc_id", "left")
+    return attach(journal, bad, ["rc_id"])
 
 
 def reverse_journal(schedules: DataFrame, journal_id: int, prd: int) -> DataFrame:
@@ -267,7 +267,7 @@ def assign_activity(lines: DataFrame, errors: DataFrame) -> DataFrame:
         return F.when(clean & F.col(col).isNotNull(), account_class(number_or(F.col(col))))
 
     return (
-        lines.join(first_bad, "header_id", "left")
+        attach(lines, first_bad, ["header_id"])
         .withColumn("dr_activity", activity("dr_account"))
         .withColumn("cr_activity", activity("cr_account"))
         .drop("_bad")
@@ -335,16 +335,14 @@ def batch_contracts(gl: DataFrame, limit: int) -> DataFrame:
     group = F.when(rank <= F.col("first_fit"), F.col("grp0")).otherwise(
         F.col("grp0") + 1 + div(rank - F.col("first_fit") - 1, F.col("per_group"))
     )
-    return ranked.join(spec, ["batch_id", "cnt"]).select("batch_id", "rc_id", "cnt", group.alias("group_id"))
+    return attach(ranked, spec, ["batch_id", "cnt"], "inner").select("batch_id", "rc_id", "cnt", group.alias("group_id"))
 
 
-def unique_lookup(ref: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Key to value, failing on a key with several values as a scalar lookup would."""
-    found = ref.groupBy(F.col(key).alias(f"_k_{out}")).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    checked = F.when(
-        F.col("lo") != F.col("hi"), F.raise_error(F.concat(F.lit(f"several {out} values for "), F.col(f"_k_{out}").cast("string"))).cast("string")
-    ).otherwise(F.col("lo").cast("string"))
-    return found.select(f"_k_{out}", checked.alias(out))
+def unique_lookup(ref: DataFrame, key: str, value: str, on: str, out: str) -> DataFrame:
+    """Key (named ``on``) to value, failing on a key with several values as a scalar lookup would."""
+    found = ref.groupBy(F.col(key).alias(on)).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    several = F.raise_error(F.concat(F.lit(f"several {out} values for "), F.col(on).cast("string"))).cast("string")
+    return found.select(on, F.when(F.col("lo") != F.col("hi"), several).otherwise(F.col("lo").cast("string")).alias(out))
 
 
 def enrich_gl(gl: DataFrame, refs: dict[str, tuple[DataFrame, str, str, str]], subsidiaries: DataFrame) -> DataFrame:
@@ -356,9 +354,9 @@ def enrich_gl(gl: DataFrame, refs: dict[str, tuple[DataFrame, str, str, str]], s
     """
     out = gl
     for name, (ref, key, value, col) in refs.items():
-        out = out.join(unique_lookup(ref, key, value, name), F.col(col) == F.col(f"_k_{name}"), "left").drop(f"_k_{name}")
+        out = attach(out, unique_lookup(ref, key, value, col, name), [col])
     latest = subsidiaries.groupBy(F.upper("name").alias("_sub")).agg(F.max_by("external_id", "batch_id").alias("subsidiary_id"))
-    return out.join(latest, F.upper("subsidiary") == F.col("_sub"), "left").drop("_sub")
+    return attach(out.withColumn("_sub", F.upper("subsidiary")), latest, ["_sub"]).drop("_sub")
 
 
 def tax_reclass(
@@ -398,7 +396,7 @@ def mark_interfaced(schedules: DataFrame, journals: DataFrame) -> DataFrame:
     """Set the interfaced flag on the schedules of the given journals."""
     hit = journals.select("je_id").distinct().withColumn("_hit", F.lit(True))
     return (
-        schedules.join(hit, "je_id", "left")
+        attach(schedules, hit, ["je_id"])
         .withColumn("indicators", F.when(F.col("_hit"), with_flag(F.col("indicators"), 1, "Y")).otherwise(F.col("indicators")))
         .drop("_hit")
     )
@@ -439,8 +437,7 @@ def stage_flags(stage: DataFrame) -> DataFrame:
         & (F.col("_parent") == 1)
     )
     return (
-        staged.join(premium, "bundle_id", "left")
-        .join(parent, ["bundle_id", "so_num"], "left")
+        attach(attach(staged, premium, ["bundle_id"]), parent, ["bundle_id", "so_num"])
         .withColumn("premium", F.when(is_so & (F.col("_premium") == 1) & (F.col("prod_ctgry") == "License - Term"), "Y").otherwise(F.col("premium")))
         .withColumn("list_price", F.when(service_child, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("list_price")))
         .drop("_premium", "_parent")
@@ -471,7 +468,7 @@ def map_rebill(stage: DataFrame, lines: DataFrame) -> DataFrame:
             F.col("posted_n").isNull() & (F.col("staged_n") == 1), F.col("staged_line")
         ),
     )
-    mapped = stage.join(posted, match, "left").join(staged, match, "left").withColumn("_line", found)
+    mapped = attach(attach(stage, posted, match), staged, match).withColumn("_line", found)
     hit = F.col("_line").isNotNull()
     mapped = mapped.select(
         *[c for c in stage.columns if c not in ("so_num", "so_line_id")],
@@ -483,7 +480,7 @@ def map_rebill(stage: DataFrame, lines: DataFrame) -> DataFrame:
     open_amt = lines.groupBy(F.col("doc_num").alias("so_num"), F.col("doc_line_id").alias("so_line_id")).agg(
         F.sum(F.col("ext_sll_prc") - F.col("billed")).alias("_open")
     )
-    return mapped.join(open_amt, ["so_num", "so_line_id"], "left").withColumn(
+    return attach(mapped, open_amt, ["so_num", "so_line_id"]).withColumn(
         "check_flag",
         F.when(rebill & (F.col("_open") < F.col("inv_price")), "REBILL_CHECK"),
     ).drop("_open")
@@ -516,6 +513,6 @@ def rebill_release(lines: DataFrame, actions: DataFrame) -> DataFrame:
         & F.col("project").isNotNull()
         & (F.coalesce("rel_pct", F.lit(0)) == 0)
     )
-    return todo.join(release, ["orig_doc", "project"]).where("release_pct > 0 AND release_pct <= 100").select(
+    return attach(todo, release, ["orig_doc", "project"], "inner").where("release_pct > 0 AND release_pct <= 100").select(
         "line_id", "pob_id", "orig_doc", "project", "release_pct"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recogna.functions.scalars import flag_at, inclusive_days, period_of, period_start, shift_period
+from recogna.functions.skew import attach
 from recogna.sources.calendar import MONTH_LENGTHS, prior_period_ids
 
 
@@ -200,13 +201,13 @@ def distribute(amounts: DataFrame, model: DataFrame, amount: str = "amount", dig
     ``model``: model_id, dist_seq, pct, account.  Parts are rounded; the part at which the
     percentages reach 100 takes the rest; a shortfall goes to a DEFAULT account row.  A
     model has a handful of rows, so it travels as one array per model id and every amount
-    is split in place, without a shuffle.
+    is split in place, without a window over the parts.
     """
     scale = f"decimal(28,{digits})"
     spec = model.groupBy("model_id").agg(
         F.array_sort(F.collect_list(F.struct("dist_seq", "pct", "account"))).alias("_spec")
     )
-    joined = amounts.join(F.broadcast(spec), "model_id")
+    joined = attach(amounts, spec, ["model_id"], "inner")
     total = F.abs(F.col(amount)).cast(scale)
     zero = F.lit(0).cast(scale)
 

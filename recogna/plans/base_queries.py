@@ -255,8 +255,7 @@ def period_labels(spark, d):
 def category_lists(spark, d):
     # one entry per category and contract after distinct, so the list is as short as the category list
     pairs = model.lines(spark, d, "rc_id", "prod_ctgry").distinct()
-    pairs.createOrReplaceTempView("contract_categories")
-    return spark.sql("SELECT rc_id, listagg(prod_ctgry, ',') WITHIN GROUP (ORDER BY prod_ctgry) AS categories FROM contract_categories GROUP BY rc_id")
+    return spark.sql("SELECT rc_id, listagg(prod_ctgry, ',') WITHIN GROUP (ORDER BY prod_ctgry) AS categories FROM {pairs} GROUP BY rc_id", pairs=pairs)
 
 
 @query(
