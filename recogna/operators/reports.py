@@ -391,6 +391,13 @@ def waterfall_qtd(
     return scoped.groupBy("root_line_id", "rc_id").agg(*[v.alias(k) for k, v in columns.items()])
 
 
+def prior_period_pivot(rows: DataFrame, run_prd: int, n: int, keys: Sequence[str]) -> DataFrame:
+    """Amounts of the ``n`` periods before the run period as columns; empty cells are zero."""
+    months = [shift_period(run_prd, -i) for i in range(n, 0, -1)]
+    pivoted = rows.where(F.col("prd_id").between(months[0], months[-1])).groupBy(*keys).pivot("prd_id", months).agg(F.sum("amount"))
+    return pivoted.select(*keys, *[F.coalesce(F.col(str(m)), F.lit(0)).cast("decimal(28,2)").alias(f"p{m}") for m in months])
+
+
 def with_grand_total(detail: DataFrame, keys: Sequence[str], label: str = "TOTAL") -> DataFrame:
     """Detail rows followed by one row of column sums."""
     sums = [c for c in detail.columns if c not in keys]

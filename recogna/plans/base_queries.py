@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from recogna.functions import scalars as X
+from recogna.operators.journal import both_sides
+from recogna.operators.reports import prior_period_pivot
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.session import ensure_checkpoint_dir
@@ -114,6 +116,17 @@ def period_snapshot(spark, d):
     return spark.read.parquet(path).select("rc_id", "amount", F.col("snapshot_prd_id").cast("int").alias("snapshot_prd_id"))
 
 
+@query(
+    "prior_period_table", "SNK5", "PV3",
+    sql=duck("schedules", f"""SELECT rc_id, {', '.join(f'CAST(coalesce(sum(amount) FILTER (prd_id = {p}), 0) AS DECIMAL(28,2)) AS p{p}' for p in (199903, 199904, 199905))}
+ FROM schedules WHERE prd_id BETWEEN 199903 AND 199905 GROUP BY rc_id"""),
+)
+def prior_period_table(spark, d):
+    pivoted = prior_period_pivot(model.schedules(spark, d), OPEN, 3, ["rc_id"])
+    path = _scratch(spark)
+    return sinks.materialise(pivoted, f"prior_periods_{path[-32:]}", path)
+
+
 @query(
     "key_cleanup", "SC1", "SC12", "SC13", "SC14", "SC19",
     sql=duck("", """SELECT p_partkey, upper(trim(concat('  ', p_name, ' '))) AS clean_name, regexp_replace(upper(p_name || '/' || p_type), '[^A-Z0-9]+', '_', 'g') AS ident,
@@ -136,8 +149,6 @@ def key_cleanup(spark, d):
     sql=duck("ledger", "SELECT acct_type_id, CAST(sum(net) AS DECIMAL(28,2)) AS net FROM ledger WHERE acct_type_id IN ('R','Y','X') GROUP BY ALL"),
 )
 def account_list_totals(spark, d):
-    from recogna.operators.journal import both_sides
-
     wanted = spark.sql("SELECT explode(split('R,Y,X', ',')) AS acct_type_id")
     return both_sides(model.schedules(spark, d)).join(wanted, "acct_type_id", "left_semi").groupBy("acct_type_id").agg(X.money(F.sum("net")).alias("net"))
 

@@ -56,9 +56,11 @@ def reload_period(df: DataFrame, path: str, period: str = "prd_id") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
 
 
-def materialise(df: DataFrame, table: str) -> None:
-    """Store a query result as a table, replacing an earlier one."""
-    df.write.mode("overwrite").saveAsTable(table)
+def materialise(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
+    """Store a query result as a table, replacing an earlier one; ``path`` keeps its files outside the warehouse."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def refill(df: DataFrame, path: str) -> None:
