@@ -69,7 +69,7 @@ def default_rules() -> list[Rule]:
 
     return [
         Rule("symbols", F.col("n_symbols") / words > 0.1),
-        Rule("repeated_lines", F.col("n_dup_lines") / F.greatest("_n_lines", F.lit(1)) > 0.3),
+        Rule("repeated_lines", F.col("n_dup_lines") / F.greatest("_n_lines", F.lit(1)) > 0.5),
         Rule("word_length", (F.col("n_words") > 0) & ~(F.col("word_chars") / words).between(2, 25)),
         Rule("capitals", cut(r"\p{Lu}+") / chars > 0.5),
         Rule("exclamations", (F.length(text) - F.length(F.translate(text, "!", ""))) / words > 0.5),
