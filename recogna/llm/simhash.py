@@ -55,44 +55,69 @@ def _flip(*bits: int) -> int:
     return int(np.array(sum(1 << b for b in bits), np.uint64).view(np.int64))
 
 
-def flips() -> tuple[list[int], list[int]]:
-    """The flips that fingerprints of even and of odd parity emit: no bit, one bit, two bits.
+def _pairs(bits: range) -> list[int]:
+    return [_flip(*p) for p in combinations(bits, 2)]
+
+
+#: Flips of no bit, one bit, two bits, for each half of the word.
+LOW_ONE, LOW_TWO = [_flip(b) for b in range(32)], _pairs(range(32))
+HIGH_ONE, HIGH_TWO = [_flip(b) for b in range(32, 64)], _pairs(range(32, 64))
+#: Variants of an even and of an odd fingerprint.
+EVEN, ODD = 1 + BITS + len(LOW_TWO) + len(HIGH_TWO), BITS
+
+
+def routed(marks: DataFrame) -> DataFrame:
+    """(route, fingerprint): a row for each different low half among the variants of a fingerprint.
 
     Half the radius of 3 is 1 on one side and 2 on the other. Two fingerprints 1 or 3 bits apart
     differ in parity, so only even ones need flip two bits; of any three differing bits two lie in
     the same half of the word, so only pairs within a half are needed; two fingerprints 2 bits
-    apart meet after one flip each. 1,057 and 64 variants instead of 2,081 each.
+    apart meet after one flip each. 1,057 and 64 variants instead of 2,081 each. Variants meet
+    only if their low halves do, and those with flips in the high half have the fingerprint's own: they travel as
+    one row and are told apart by the task that gets it. 529 and 33 rows remain.
     """
-    one = [_flip(b) for b in range(BITS)]
-    two = [_flip(*p) for half in (range(32), range(32, 64)) for p in combinations(half, 2)]
-    return [0, *one, *two], one
+    flip = F.when(F.bit_count("fingerprint") % 2 == 0, F.lit([0, *LOW_ONE, *LOW_TWO])).otherwise(F.lit([0, *LOW_ONE]))
+    return marks.select("fingerprint", F.explode(flip).alias("flip")).select(
+        F.col("fingerprint").bitwiseXOR(F.col("flip")).bitwiseAND(F.lit(0xFFFFFFFF)).alias("route"), "fingerprint"
+    )
+
+
+def variants_of(route: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(variant, fingerprint) for rows of ``routed``."""
+    half = np.int64(0xFFFFFFFF)
+    low = (mark ^ route) & half
+    own, even = low == 0, np.bitwise_count(mark.view(np.uint64)) % 2 == 0
+    made = [(mark[~own] ^ low[~own], mark[~own])]
+    for rows, flips in ((own & even, [0, *HIGH_ONE, *HIGH_TWO]), (own & ~even, HIGH_ONE)):
+        made.append(((mark[rows][:, None] ^ np.array(flips, np.int64)).ravel(), np.repeat(mark[rows], len(flips))))
+    return tuple(np.concatenate(x) for x in zip(*made, strict=True))
 
 
 def meetings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) among the rows (variant, fingerprint) of one partition, which has all rows of its variants.
+    """Links (a, b) among the rows (route, fingerprint) of one partition, which has all rows of its routes.
 
     A fingerprint at most one bit from the variant is its hub; all others there are at most
     two bits from the variant, hence at most three from the hub, and every pair within the radius
     shares a variant of which one of the two is a hub. A star around one hub therefore joins all
     that meet there, with a link for each member. Distances are verified again.
     """
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
     if not parts:
         return
-    variant, mark = (np.concatenate(x) for x in zip(*parts, strict=True))
+    variant, mark = variants_of(*(np.concatenate(x) for x in zip(*parts, strict=True)))
     order = np.argsort(variant, kind="stable")
     variant, mark = variant[order], mark[order]
-    first = np.flatnonzero(np.r_[True, variant[1:] != variant[:-1]]) if len(variant) else np.zeros(0, int)
+    first = np.flatnonzero(np.r_[True, variant[1:] != variant[:-1]])
     size = np.diff(np.r_[first, len(variant)])
     shared = np.repeat(size > 1, size)
     variant, mark, size = variant[shared], mark[shared], size[size > 1]
     if not len(size):
         return
     none = np.iinfo(np.int64).max
+    begin = np.r_[0, np.cumsum(size)[:-1]]
     near = np.bitwise_count((variant ^ mark).view(np.uint64)) <= 1
-    hubs = np.minimum.reduceat(np.where(near, mark, none), np.r_[0, np.cumsum(size)[:-1]])
-    has = np.add.reduceat(near.astype(np.int64), np.r_[0, np.cumsum(size)[:-1]]) > 0
-    hub, has = np.repeat(hubs, size), np.repeat(has, size)
+    hub = np.repeat(np.minimum.reduceat(np.where(near, mark, none), begin), size)
+    has = np.repeat(np.add.reduceat(near.astype(np.int64), begin) > 0, size)
     real = has & (hub != mark) & (np.bitwise_count((hub ^ mark).view(np.uint64)) <= RADIUS)
     links = np.unique(np.stack([hub[real], mark[real]]), axis=1)
     yield pa.record_batch([pa.array(links[0]), pa.array(links[1])], ["a", "b"])
@@ -103,8 +128,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Fingerprints at most 3 bits apart are linked; ``component_id`` is the smallest id of the
     connected documents. Copies meet in one fingerprint before anything is emitted, so a
-    group of copies costs one row. Distinct fingerprints emit their variants (``flips``), which are
-    shuffled by variant; tasks sort their share and emit links, whose components follow.
+    group of copies costs one row. Distinct fingerprints emit their variants (``routed``), which are
+    shuffled; tasks sort their share and emit links, whose components follow.
 
     Null text counts as empty; texts without words have fingerprint 0 and are linked like others.
     Null ids keep their row; they don't name a component, which is null if it has no other id. Rows
@@ -113,14 +138,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     marks = stored(fingerprints(docs, id_col, text_col, words), "simhash-marks")
     distinct = stored(marks.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    even, odd = flips()
-    emitted = distinct.count() * (len(even) + len(odd)) // 2
-    flip = F.when(F.bit_count("fingerprint") % 2 == 0, F.lit(even)).otherwise(F.lit(odd))
-    variants = distinct.select("fingerprint", F.explode(flip).alias("flip")).select(
-        F.col("fingerprint").bitwiseXOR(F.col("flip")).alias("variant"), "fingerprint"
-    )
-    tasks = max(shuffle_partitions(spark), -(-emitted // PER_TASK))
-    links = variants.repartition(tasks, "variant").mapInArrow(meetings, "a long, b long")
+    tasks = max(shuffle_partitions(spark), -(-distinct.count() * (EVEN + ODD) // 2 // PER_TASK))
+    links = routed(distinct).repartition(tasks, "route").mapInArrow(meetings, "a long, b long")
     roots = components(links, "simhash")
     own = distinct.withColumn("node", mixed("fingerprint")).join(roots, "node", "left")
     own = own.withColumn("root", F.coalesce("root", "node"))
