@@ -10,8 +10,8 @@ import numpy as np
 
 #: White space besides the blank and the line feed, in the widest reading of any engine.
 _OTHER_WHITE = re.compile(r"[^\S \n]")
-#: A run of blanks and line feeds and the characters up to the next one.
-_WITH_WHITE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: A line feed between other characters; or a run of blanks and line feeds and the characters up to the next one.
+_WITH_WHITE = re.compile(r"\n(?=[^ \n])|[ \n]*[^ \n]+|[ \n]+")
 _WITHOUT_WHITE = re.compile(r"[^ \n]+")
 
 
@@ -26,7 +26,8 @@ class Encoder:
       mixed run is read as one.
     - ``blanks="dropped"`` (word BPE): cuttings are the runs between blanks and line feeds.
 
-    The memory holds ``most`` cuttings and starts anew when full; results don't depend on it.
+    The memory has two generations of about ``most`` cuttings: when the young one is full, it becomes the
+    old one, from which cuttings in use come back. Results don't depend on it.
     Strings of special tokens in a text are ordinary text.
     """
 
@@ -36,7 +37,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.blanks, self.most, self.known = blanks, most, {}
+        self.blanks, self.most = blanks, most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def cuttings(self, text: str) -> list[str]:
         if self.blanks == "dropped":
@@ -47,15 +50,20 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cuttings(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        new = list({c for cuts in cut for c in cuts if c not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        unseen = []
+        for c in {c for cuts in cut for c in cuts if c not in young}:
+            if c in old:
+                young[c] = old[c]
+            else:
+                unseen.append(c)
+        for at in range(0, len(unseen), 4096):
+            some = unseen[at : at + 4096]
             for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[c] for c in cuts]) for cuts in cut]
+                young[c] = np.array(e.ids, dtype="<u4").tobytes()
+        return [b"".join([young[c] for c in cuts]) for cuts in cut]
 
 
 @lru_cache(maxsize=4)
