@@ -178,7 +178,8 @@ def encoded(docs: DataFrame, pieces: Pieces, most: int = LATTICE_WORDS) -> DataF
     def packed(symbols: list[tuple[str, int | None]]) -> bytes:
         return np.array([x for s, i in symbols for x in ((i,) if i is not None else pieces.fallback(s))], "<i4").tobytes()
 
-    frequent = {r["word"]: packed([(s["piece"], s["id"]) for s in r["path"]]) for r in paths.collect()}  # at most ``most`` short words
+    few = paths.select("word", F.col("path.piece").alias("symbols"), F.col("path.id").alias("numbers")).toArrow()  # at most ``most`` short words
+    frequent = {w: packed(list(zip(s, n, strict=True))) for b in few.to_batches() for w, s, n in zip(*(c.to_pylist() for c in b.columns), strict=True)}
     shared = spark.sparkContext.broadcast((frequent, costs, number))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

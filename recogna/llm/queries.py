@@ -97,4 +97,47 @@ QUERIES = {
         op6_sentencepiece, op7_url_filters, op8_quality_rules, op9_language_id, op10_embedding_near_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+#: White space of the word and line rules, and A-Z lower-cased, in DuckDB.
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "translate(trim(line, {white}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format(white=_WHITE)
+
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+), keyed AS (SELECT *, {_LOWER} AS key FROM lines),
+frequent AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+GROUP BY doc_id
+""",
+    "op8_quality_rules": f"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), l -> trim(l, {_WHITE}) <> '') AS ls
+  FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM words WHERE len(ws) >= 3
+), placed AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM windows),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM placed WHERE n > 1) GROUP BY doc_id),
+counted AS (
+  SELECT w.doc_id, w.text, len(ls) AS n_lines, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM words w LEFT JOIN covered c ON w.doc_id = c.doc_id
+), judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+  AND NOT n_symbols / greatest(n_words, 1) > 0.1
+  AND NOT n_dup_lines / greatest(n_lines, 1) > 0.5
+  AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 25
+  AND NOT (length(text) - length(regexp_replace(text, '\\p{{Lu}}+', '', 'g'))) / greatest(word_chars, 1) > 0.5
+  AND NOT (length(text) - length(replace(text, '!', ''))) / greatest(n_words, 1) > 0.5
+  AND NOT (length(text) - length(regexp_replace(text, '\\p{{L}}+', '', 'g'))) / greatest(word_chars, 1) < 0.5 AS kept
+FROM judged
+""",
+}
