@@ -61,7 +61,8 @@ def round_by_currency(
     """Round to the digits of the row's currency (``precision``: currency, digits).
 
     The precision table has one row per currency, so it is broadcast; ``round`` needs a
-    literal scale, hence one branch per scale from 0 to 4.
+    literal scale, hence one branch per scale from 0 to 4, the scale of the result; currencies
+    with more digits are rounded there.
     """
     dim = F.broadcast(precision.select(F.col("currency").alias(currency), "digits"))
     digits = F.coalesce(F.col("digits"), F.lit(default_digits))
@@ -69,7 +70,7 @@ def round_by_currency(
         lambda acc, n: acc.when(digits == n, F.round(F.col(amount), n).cast("decimal(28,4)")),
         range(1, 5),
         F.when(digits == 0, F.round(F.col(amount), 0).cast("decimal(28,4)")),
-    )
+    ).otherwise(F.round(F.col(amount), 4).cast("decimal(28,4)"))
     return df.join(dim, currency, "left").withColumn(out, picked).drop("digits")
 
 

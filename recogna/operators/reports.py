@@ -150,15 +150,17 @@ def line_account_summary(
 
     A summary row shows in every period its validity covers; the account group decides
     which measures it feeds.  ``latest`` adds the latest balance of the line, account and
-    period.  ``measures`` limits the columns; the scan then reads only their inputs.
+    period, which type-D rows show without one.  ``measures`` limits the columns; the scan then
+    reads only their inputs.
     """
-    valid = interval_periods(summary.where(F.col("schd_type") != "D"), calendar, "valid_from", "valid_until")
+    valid = interval_periods(summary, calendar, "valid_from", "valid_until")
     rows = valid.join(F.broadcast(groups), "acct_type_id")
     balances: list[Column] = []
     if latest is not None:
         keys = ["root_line_id", "acct_type_id", "acct_segs", "cal_prd_id"]
         rows = rows.join(latest.select(*[F.col(k) for k in keys], "lt_t_bal", "lt_f_bal", "lt_r_bal"), keys, "left")
-        balances = [F.coalesce(c, F.lit(0)).cast("decimal(18,2)").alias(c) for c in ("lt_t_bal", "lt_f_bal", "lt_r_bal")]
+        dated = F.coalesce(F.col("schd_type") != "D", F.lit(False))
+        balances = [F.when(dated & F.col(c).isNotNull(), F.col(c)).otherwise(0).cast("decimal(18,2)").alias(c) for c in ("lt_t_bal", "lt_f_bal", "lt_r_bal")]
     keep = insight_measures(measures)
     return rows.select(
         "cal_prd_id", "period_name", "rc_id", "line_id", "root_line_id", "acct_type_id", "acct_segs", "acct_name",
@@ -178,7 +180,7 @@ def insight_totals(summary: DataFrame, calendar: DataFrame, groups: DataFrame) -
     """
     amounts = [c for c in summary.columns if c[:2] in ("t_", "f_", "r_")]
     keys = ["acct_type_id", "prd_id", "valid_from", "valid_until", "pd_qt_ed_dt", "pd_yr_ed_dt"]
-    summed = summary.where(F.col("schd_type") != "D").groupBy(*keys).agg(*[F.sum(a).cast("decimal(28,2)").alias(a) for a in amounts])
+    summed = summary.groupBy(*keys).agg(*[F.sum(a).cast("decimal(28,2)").alias(a) for a in amounts])
     rows = interval_periods(summed, calendar, "valid_from", "valid_until").join(F.broadcast(groups), "acct_type_id")
     return rows.groupBy("cal_prd_id", "acct_type_id").agg(
         *[F.sum(v).cast("decimal(28,2)").alias(k) for k, v in insight_measures(amount_type="decimal(28,2)").items()]

@@ -333,7 +333,8 @@ def generate_schedules(
     ``lines``: line_id, rc_id, amount, start_date, end_date, init_expiry.  ``history``:
     line_id, prd_id, amount, version.  Suspended lines get one zero row when they have no
     schedule yet and are skipped otherwise.  The others keep closed periods, take the next
-    version and are rebuilt: straight-line in the initial period, prospectively after it.
+    version and are rebuilt: straight-line in the initial period, prospectively after it. Lines
+    that are held or not part of the run keep their later periods too.
     """
     past = history.groupBy("line_id").agg(
         F.sum(F.when(F.col("prd_id") < open_prd, F.col("amount"))).alias("_past"),
@@ -361,11 +362,14 @@ def generate_schedules(
     revision = F.col("init_expiry") < open_end
     initial = recognize(live.where(~revision), calendar, open_prd, "open_value")
     revised = recognize_prospective(live.where(revision), calendar, open_prd, "value", "scheduled")
+    rebuilt = live.select("line_id").distinct()
+    later = history.where(F.col("prd_id") >= open_prd).join(rebuilt, "line_id", "left_anti")
     kept = history.where(F.col("prd_id") < open_prd)
     return (
         held.unionByName(initial.select(*columns, F.col("rel_amt").alias("amount"), F.lit("INITIAL").alias("rule")))
         .unionByName(revised.select(*columns, F.col("rel_amt").alias("amount"), F.lit("REVISION").alias("rule")))
         .unionByName(kept.select(*columns, "amount", F.lit("CLOSED").alias("rule")))
+        .unionByName(later.select(*columns, "amount", F.lit("KEPT").alias("rule")))
     )
 
 

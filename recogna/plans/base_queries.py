@@ -97,7 +97,7 @@ def period_reload(spark, d):
     path, rows = _scratch(spark), _by_period(spark, d)
     sinks.reload_period(rows, path)
     again = rows.where(F.col("prd_id") == OPEN).withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)"))
-    sinks.reload_period(again, path)
+    sinks.reload_period(again, path, periods=[OPEN])
     return spark.read.parquet(path).select("rc_id", F.col("prd_id").cast("int").alias("prd_id"), "amount")
 
 

@@ -35,7 +35,7 @@ def _summary_sql() -> str:
  last_day(CAST(date_trunc('quarter', start_date) AS DATE) + INTERVAL 2 MONTH) AS pd_qt, make_date(year(start_date), 12, 31) AS pd_yr, {t} FROM lines),
 summ AS (SELECT *, {fr} FROM summ0),
 per AS (SELECT s.*, c.prd_id AS cal_prd_id, c.period_name, c.qtr_end_dt, c.year_end_dt, a.* EXCLUDE (acct_type_id)
- FROM summ s JOIN cal c ON c.end_date BETWEEN s.valid_from AND s.valid_until JOIN acct a ON a.acct_type_id = s.acct_type_id WHERE schd_type <> 'D')"""
+ FROM summ s JOIN cal c ON c.end_date BETWEEN s.valid_from AND s.valid_until JOIN acct a ON a.acct_type_id = s.acct_type_id)"""
 
 
 _IN = {"p": "cal_prd_id = prd_id", "q": "qtr_end_dt = pd_qt", "y": "year_end_dt = pd_yr"}
@@ -123,7 +123,7 @@ def _latest(spark, d):
 @query(
     "line_account_summary", "RP7", "RP8", "J3", "J4", "SRC2",
     sql=duck("cal lines acct", f"""SELECT per.cal_prd_id, per.line_id, per.acct_type_id, acct_group, schd_type, {', '.join(f'{_MEASURES[m]} AS {m}' for m in LINE_COLUMNS)},
- CAST(CASE WHEN line_id LIKE '%5' AND cal_prd_id = prd_id THEN t_eb ELSE 0 END AS DECIMAL(18,2)) AS lt_t_bal FROM per""", _SUMMARY),
+ CAST(CASE WHEN line_id LIKE '%5' AND cal_prd_id = prd_id AND schd_type <> 'D' THEN t_eb ELSE 0 END AS DECIMAL(18,2)) AS lt_t_bal FROM per""", _SUMMARY),
 )
 def line_account_summary(spark, d):
     out = R.line_account_summary(*_insight_inputs(spark, d), latest=_latest(spark, d), measures=LINE_COLUMNS)

@@ -207,7 +207,8 @@ def _history(ln):
  UNION ALL SELECT line_id, version, prd_id, CAST(units / 100.0 AS DECIMAL(18,2)), 'INITIAL' FROM rrec WHERE units <> 0
  UNION ALL SELECT line_id, version, {OPEN}, CAST(now_units / 100.0 AS DECIMAL(18,2)), 'REVISION' FROM qn WHERE now_units <> 0
  UNION ALL SELECT line_id, version, prd_id, CAST(sg * units / 100.0 AS DECIMAL(18,2)), 'REVISION' FROM qinc WHERE units <> 0
- UNION ALL SELECT line_id, version, prd_id, amount, 'CLOSED' FROM hist WHERE prd_id < {OPEN})""", _HISTORY, f"""
+ UNION ALL SELECT line_id, version, prd_id, amount, 'CLOSED' FROM hist WHERE prd_id < {OPEN}
+ UNION ALL SELECT line_id, version, prd_id, amount, 'KEPT' FROM hist WHERE prd_id >= {OPEN} AND line_id IN (SELECT line_id FROM state WHERE hold))""", _HISTORY, f"""
 state AS (SELECT l.line_id, l.start_date, l.end_date, CAST(alctd_xt_prc * 100 AS BIGINT) AS v,
   CAST(coalesce(CASE WHEN h.prd_id < {OPEN} THEN h.amount END, 0) * 100 AS BIGINT) AS past, coalesce(h.version, 0) + 1 AS version,
   h.line_id IS NOT NULL AS has, discount_pct = 10 AS hold, l.start_date + 60 < DATE '1999-06-30' AS revised

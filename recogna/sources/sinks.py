@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,38 +23,42 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str], mark
     )
 
 
-def _has_rows(spark: SparkSession, path: str, prd: int, org: str | None) -> bool:
+def _stored(spark: SparkSession, folder: str) -> bool:
+    """Whether something was stored there, rows or none; other read errors are not taken for an empty place."""
     try:
-        found = spark.read.parquet(path).where(F.col("snapshot_prd_id") == prd)
-    except AnalysisException:
-        return False
-    if org is not None:
-        found = found.where(F.col("org") == org)
-    return not found.isEmpty()
+        spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def write_snapshot(df: DataFrame, path: str, run_prd: int, open_prd: int, org: str | None = None) -> bool:
     """Store a period snapshot; returns whether it was written.
 
-    A closed period that has a snapshot stays frozen, the open period is rebuilt, a future
-    period is refused.
+    A closed period that has a snapshot stays frozen, also an empty one; the open period is rebuilt, to
+    nothing if ``df`` has no rows; a future period is refused.
     """
     if run_prd > open_prd:
         raise ValueError("a snapshot cannot be taken for a future period")
-    if run_prd < open_prd and _has_rows(df.sparkSession, path, run_prd, org):
+    folder = f"{path}/snapshot_prd_id={run_prd}" + (f"/org={quote(org, safe='')}" if org is not None else "")
+    if run_prd < open_prd and _stored(df.sparkSession, folder):
         return False
-    out = df.withColumn("snapshot_prd_id", F.lit(run_prd))
-    parts = ["snapshot_prd_id"]
-    if org is not None:
-        out = out.withColumn("org", F.lit(org))
-        parts.append("org")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    df.write.mode("overwrite").parquet(folder)
     return True
 
 
-def reload_period(df: DataFrame, path: str, period: str = "prd_id") -> None:
-    """Replace exactly the periods present in ``df``; other periods stay as they are."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+def reload_period(df: DataFrame, path: str, period: str = "prd_id", periods: Sequence[int] | None = None) -> None:
+    """Replace the named periods by what ``df`` has of them, which may be nothing; other periods stay.
+
+    Without names the periods present in ``df`` are replaced.
+    """
+    if periods is None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+        return
+    for one in periods:
+        df.where(F.col(period) == one).drop(period).write.mode("overwrite").parquet(f"{path}/{period}={one}")
 
 
 def materialise(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
