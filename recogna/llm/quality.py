@@ -118,4 +118,5 @@ def judged(docs: DataFrame, rules: list[Rule] | None = None, sample: int = SAMPL
     for rule in sampled:
         chain = chain.when(rule.fails, False)
     out = counted.withColumn("base_failed", base_failed()).withColumn("kept", chain.otherwise(True))
-    return out.select(*rows.columns, *results)
+    # a row of one struct: a filter on the results stays above and doesn't copy all that they are made of
+    return out.select(*rows.columns, F.inline(F.array(F.struct(*results))))
