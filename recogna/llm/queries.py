@@ -116,8 +116,8 @@ GROUP BY doc_id
     "op8_quality_rules": f"""
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS ws,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> trim(l, {_WHITE}) <> '') AS ls
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: trim(l, {_WHITE}) <> '') AS ls
   FROM documents
 ), windows AS (
   SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM words WHERE len(ws) >= 3
@@ -125,7 +125,7 @@ WITH words AS (
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM placed WHERE n > 1) GROUP BY doc_id),
 counted AS (
   SELECT w.doc_id, w.text, len(ls) AS n_lines, CAST(len(ws) AS BIGINT) AS n_words,
-    CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
   FROM words w LEFT JOIN covered c ON w.doc_id = c.doc_id
