@@ -34,11 +34,10 @@ def with_counts(docs: DataFrame) -> DataFrame:
     bare = F.btrim(text, F.lit(WHITE))
     docs = docs.withColumn("_words", F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WHITE_RUN)))
     docs = docs.withColumn("_lines", F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)) != ""))
-    docs = docs.withColumn(
-        "_windows",
-        F.when(F.size("_words") >= 3, F.transform(F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)))),
-    )
-    placed = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    first, second, third = (F.slice("_words", k, F.size("_words") - 2) for k in (1, 2, 3))
+    hashes = F.zip_with(F.zip_with(first, second, lambda a, b: F.xxhash64(a, b)), third, lambda h, c: F.xxhash64(h, c))
+    docs = docs.withColumn("_windows", F.when(F.size("_words") >= 3, hashes))
+    placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     docs = docs.withColumn("_placed", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), placed))
     again = F.filter(
         "_placed",
@@ -47,8 +46,8 @@ def with_counts(docs: DataFrame) -> DataFrame:
     covered = F.array_distinct(F.flatten(F.transform(again, lambda w: F.array(w["i"], w["i"] + 1, w["i"] + 2))))
     return docs.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.translate(text, WHITE, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": F.when(F.col("_placed").isNull(), 0).otherwise(F.size(covered)).cast("long"),
         "_n_lines": F.size("_lines"),
@@ -72,20 +71,21 @@ def default_rules() -> list[Rule]:
         Rule("repeated_lines", F.col("n_dup_lines") / F.greatest("_n_lines", F.lit(1)) > 0.5),
         Rule("word_length", (F.col("n_words") > 0) & ~(F.col("word_chars") / words).between(2, 25)),
         Rule("capitals", cut(r"\p{Lu}+") / chars > 0.5),
-        Rule("exclamations", (F.length(text) - F.length(F.translate(text, "!", ""))) / words > 0.5),
+        Rule("exclamations", F.regexp_count(text, F.lit("!")) / words > 0.5),
         Rule("letters", (F.col("n_words") > 0) & (cut(r"\p{L}+") / chars < 0.5)),
     ]
 
 
-def ordered_rules(counted: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> list[Rule]:
-    """Rules by rejected share per second, highest first, as found on about ``sample`` rows.
+def ordered_rules(docs: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> list[Rule]:
+    """Rules by rejected share per second, highest first, as found on about ``sample`` documents.
 
-    The order decides how soon a document is done with, never whether it is kept, so timings may vary.
+    Documents are drawn before anything is counted in them. The order decides how soon a document is done with,
+    never whether it is kept, so timings may vary.
     """
-    rows = counted.count()
+    rows = docs.count()
     if not rows:
         return rules
-    some = stored(counted.sample(fraction=min(1.0, sample / rows), seed=7), "quality-sample")
+    some = stored(with_counts(docs.sample(fraction=min(1.0, sample / rows), seed=7)), "quality-sample")
 
     def run(fails: Column) -> tuple[int, float]:
         begin = time.perf_counter()
@@ -114,7 +114,7 @@ def judged(docs: DataFrame, rules: list[Rule] | None = None, sample: int = SAMPL
     counted = with_counts(rows)
     rules = default_rules() if rules is None else rules
     chain = F.when(base_failed(), False)
-    sampled = ordered_rules(with_counts(rows.select("text")).drop("_words"), rules, sample) if len(rules) > 1 else rules
+    sampled = ordered_rules(rows.select("text"), rules, sample) if len(rules) > 1 else rules
     for rule in sampled:
         chain = chain.when(rule.fails, False)
     out = counted.withColumn("base_failed", base_failed()).withColumn("kept", chain.otherwise(True))
