@@ -22,8 +22,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    return F.translate(text, UPPER, UPPER.lower())
+    """Lower-case A-Z and nothing else. For a text of one byte a character ``lower`` does that, and faster."""
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -19,10 +19,15 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    """128-bit hash of the line without white space at its ends and with A-Z lower-cased; null for lines left empty."""
-    key = ascii_lower(F.btrim(line, F.lit(WHITE)))
-    return F.when(key != "", F.unhex(F.md5(key.cast("binary"))))
+def line_keys(text: Column) -> Column:
+    """For each line of a whole text, a 128-bit hash of the line without white space at its ends and with A-Z
+    lower-cased; null for lines left empty. Letters are lower-cased before the text is split, which moves no line end."""
+
+    def key(line: Column) -> Column:
+        bare = F.btrim(line, F.lit(WHITE))
+        return F.when(bare != "", F.unhex(F.md5(bare.cast("binary"))))
+
+    return F.transform(lines_of(ascii_lower(text)), key)
 
 
 class LineRuns:
@@ -60,7 +65,7 @@ class LineRuns:
 
     def add(self, docs: DataFrame) -> None:
         """Each row of ``docs`` is a document."""
-        keys = F.array_distinct(F.transform(lines_of(F.col("text")), line_key))
+        keys = F.array_distinct(line_keys(F.col("text")))
         counts = docs.select(F.explode(keys).alias("key")).where("key is not null").groupBy("key").agg(F.count("*").alias("n_docs"))
         if self.written:
             counts = counts.join(self.frequent(), "key", "left_anti")
@@ -91,7 +96,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int
     for batch in range(batches):
         runs.add(rows.where(F.pmod(F.xxhash64(*ROW_KEY), F.lit(batches)) == batch).select("text"))
     frequent = stored(runs.frequent(), "line-frequent")
-    lines = rows.select(*ROW_KEY, F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("place", "key"))
+    lines = rows.select(*ROW_KEY, F.posexplode(line_keys(F.col("text"))).alias("place", "key"))
     hits = lines.where("key is not null").join(frequent, "key", "left_semi")
     dropped = hits.groupBy(*ROW_KEY).agg(F.collect_set("place").alias("_places"))
     joined = rows.join(dropped, ROW_KEY, "left").withColumn("_lines", lines_of(F.col("text")))
