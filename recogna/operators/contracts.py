@@ -316,8 +316,16 @@ def merge_candidates(lines: DataFrame, batch: Column) -> DataFrame:
 
 
 def merge_lineage(members: DataFrame, bills: DataFrame) -> DataFrame:
-    """Move every contract of a lineage into the one with the earliest (document date, contract)."""
+    """Move every contract of a lineage into the one with the earliest (document date, contract).
+
+    Lineages that share a contract are one set, named after its smallest seed, so every contract has one target.
+    """
     first_doc = bills.where("type = 'INV'").groupBy("rc_id").agg(F.min("doc_date").alias("doc_date"))
+    # a seed is a contract and belongs to its own lineage, so its id serves as the key that ties the lineage together
+    members = cut(members.distinct())
+    sets = merge_by_key(members.select("rc_id", F.col("seed_id").alias("key")))
+    named = members.join(sets, "rc_id").groupBy("label").agg(F.min("seed_id").alias("seed_id"))
+    members = sets.join(named, "label").select("seed_id", "rc_id")
     targets = members.join(first_doc, "rc_id").groupBy("seed_id").agg(F.min(F.struct("doc_date", "rc_id")).alias("t"))
     return (
         attach(members, targets.select("seed_id", F.col("t.rc_id").alias("target_rc")), ["seed_id"], "inner")

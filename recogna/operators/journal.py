@@ -182,14 +182,21 @@ def mark_consistency(journal: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def reverse_journal(schedules: DataFrame, journal_id: int, prd: int) -> DataFrame:
-    """Take back an approved journal: posted rows get a negated twin in ``prd``, unposted rows go."""
+    """Take back an approved journal: posted rows get a negated twin, unposted rows go.
+
+    Twins of rows up to the current period ``prd`` move to it, later ones keep their period. Where ``rel_pct`` is
+    there and not zero, the twin has the percentage negated and the amount as it was.
+    """
     of_journal = F.col("je_id").eqNullSafe(F.lit(journal_id))
     posted = flag_at(F.col("indicators"), 1) == "Y"
+    has_share = "rel_pct" in schedules.columns
+    by_share = F.coalesce(F.col("rel_pct") != 0, F.lit(False)) if has_share else F.lit(False)
+    shares = {"rel_pct": -F.col("rel_pct")} if has_share else {}
     kept = schedules.where(~of_journal | posted).withColumn("is_reversal", F.lit("N"))
     twins = (
         schedules.where(of_journal & posted)
-        .withColumn("amount", -F.col("amount"))
-        .withColumn("prd_id", F.lit(prd))
+        .withColumns({"amount": F.when(by_share, F.col("amount")).otherwise(-F.col("amount")), **shares})
+        .withColumn("prd_id", F.greatest("prd_id", F.lit(prd)))
         .withColumn("indicators", with_flag(F.col("indicators"), 1, "N"))
         .withColumn("is_reversal", F.lit("Y"))
     )

@@ -382,10 +382,10 @@ def waterfall_qtd(
     scoped = rows.where(F.col("acct_type_id").isin(*account_set(kind)) & (actual | F.col("src").isin(*src)))
     shown = F.col("src").isin(*src)
     total = lambda test: F.coalesce(F.sum(F.when(test, F.col("amount"))), F.lit(0)).cast("decimal(28,2)")
-    listed = actual & prd.between(months[0], months[-1])
+    listed = actual & prd.between(months[0], months[-1]) if months else F.lit(False)
     columns = {}
     if mode != "F":
-        columns["prior_amount"] = total(actual & (prd < months[0]))
+        columns["prior_amount"] = total(actual & (prd < (months[0] if months else run_prd)))
     columns |= {f"p{m}": total(actual & (prd == m)) for m in months}
     columns["qtd_amount"] = total(actual & prd.between(quarter_first, run_prd))
     columns |= {c.label: total(shown & prd.between(c.first, c.last)) for c in month_then_year_columns(run_prd, end_prd, max_months)}

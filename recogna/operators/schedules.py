@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recogna.functions.scalars import flag_at, inclusive_days, period_of, period_start, shift_period
 from recogna.functions.skew import attach
-from recogna.sources.calendar import MONTH_LENGTHS, prior_period_ids
+from recogna.sources.calendar import MONTH_LENGTHS, covered, prior_period_ids
 
 
 def _offset(text: Column) -> Column:
@@ -81,14 +81,16 @@ def recognize(
 
     Only rounding makes the rule sequential, and all full months of one length round
     alike, so the running total is closed arithmetic over the calendar's month-length
-    counts: no window, no shuffle, one exploded row per emitted period.
+    counts: no window, no shuffle, one exploded row per emitted period. A line whose dates the
+    calendar doesn't cover fails the job.
 
     With ``splits`` the amounts belonging to the previous year, quarter and period are
     added to the row of the open period.
     """
     open_p = F.col(open_prd) if isinstance(open_prd, str) else F.lit(open_prd)
     value = _units(F.col(amount), digits)
-    base = lines.where((value != 0) & (F.col(end) >= F.col(start))).select(
+    due = lines.where((value != 0) & (F.col(end) >= F.col(start)))
+    base = due.where(covered(calendar, F.col(start), F.col(end), period_start(open_p))).select(
         "*",
         F.abs(value).alias("_total"),
         F.signum(F.col(amount).cast("double")).cast("int").alias("_sign"),
@@ -138,13 +140,10 @@ def recognize(
 
 def _prior_splits(rows: DataFrame, calendar: DataFrame, open_prd: int, capped) -> tuple[DataFrame, dict[str, Column]]:
     ids = prior_period_ids(open_prd)
+    # three calendar rows at most, which become literals of the plan
+    ends = {r["prd_id"]: r for r in calendar.where(F.col("prd_id").isin(*ids.values())).collect()}
     for tag, prd in (("_y_", ids["year"]), ("_k_", ids["quarter"]), ("_m_", ids["period"])):
-        one = calendar.where(F.col("prd_id") == prd).withColumn("_one", F.lit(1))
-        rows = rows.join(
-            F.broadcast(one.select(F.col("_one"), *[F.col(f"c{n}").alias(f"{tag}c{n}") for n in MONTH_LENGTHS])),
-            F.lit(1) == F.col("_one"),
-            "left",
-        ).drop("_one")
+        rows = rows.withColumns({f"{tag}c{n}": F.lit(ends[prd][f"c{n}"] if prd in ends else None).cast("long") for n in MONTH_LENGTHS})
 
     def reached(prd: int, tag: str, taken: bool) -> Column:
         inside = (F.lit(prd) >= F.col("_b_prd_id")) & (F.lit(prd) < F.col("_last_prd")) & (F.col("_p_prd_id") == open_prd)
@@ -303,7 +302,8 @@ def order_on_hand(
     )
     carried = F.aggregate(F.map_values(F.col("_earlier")), zero, lambda acc, v: (acc + v).cast("decimal(18,2)"))
     rows = (
-        windows.select("line_id", "first_date", "last_date", first.alias("_first"), last.alias("_last"))
+        windows.where(covered(calendar, F.col("first_date"), F.col("last_date")))
+        .select("line_id", "first_date", "last_date", first.alias("_first"), last.alias("_last"))
         .join(per_line, "line_id", "left")
         .withColumn("_earlier", earlier)
         .withColumn("_carried", F.coalesce(carried, zero))
@@ -374,10 +374,14 @@ def generate_schedules(
 
 
 def waterfall_snapshot(
-    actual: DataFrame, custom: DataFrame, on_hand: DataFrame, run_prd: int
+    actual: DataFrame, custom: DataFrame, on_hand: DataFrame, entries: DataFrame, run_prd: int
 ) -> DataFrame:
-    """Actual, custom and order-on-hand rows of the lines with a schedule in the run period."""
-    active_actual = actual.where(F.col("prd_id") == run_prd).select("line_id")
+    """Actual, custom and order-on-hand rows of the lines with a schedule in the run period.
+
+    ``entries`` are all accounting entries: any revenue entry of the run period makes a line active, an initial
+    one too; allocation entries don't.
+    """
+    active_actual = entries.where((F.col("prd_id") == run_prd) & (F.col("schd_type") == "R")).select("line_id")
     active_custom = custom.where(F.col("prd_id") == run_prd).select("line_id")
     has_custom = custom.select("line_id").distinct()
     active = active_actual.union(active_custom).distinct().join(has_custom, "line_id", "left_semi")

@@ -59,13 +59,13 @@ def latest_upload_line(spark, d):
 
 @query(
     "change_set", "SNK2",
-    sql=duck("lines", """SELECT line_id, ext_sll_prc FROM lines WHERE line_num <= 5 AND discount_pct NOT IN (1, 2)
- UNION ALL SELECT line_id, CAST(ext_sll_prc + 1 AS DECIMAL(18,2)) FROM lines WHERE line_num <= 5 AND discount_pct = 1
+    sql=duck("lines", """SELECT line_id, ext_sll_prc FROM lines WHERE discount_pct NOT IN (1, 2)
+ UNION ALL SELECT line_id, CAST(ext_sll_prc + 1 AS DECIMAL(18,2)) FROM lines WHERE discount_pct = 1
  UNION ALL SELECT concat('N-', line_id), ext_sll_prc FROM lines WHERE discount_pct = 3"""),
 )
 def change_set(spark, d):
-    ln = model.lines(spark, d, "line_id", "line_num", "ext_sll_prc", "discount_pct")
-    base = ln.where("line_num <= 5").select("line_id", "ext_sll_prc")
+    ln = model.lines(spark, d, "line_id", "ext_sll_prc", "discount_pct")
+    base = ln.select("line_id", "ext_sll_prc")
     p = F.col("discount_pct")
     changes = ln.where(p.between(1, 4)).select(
         F.when(p == 3, F.concat(F.lit("N-"), "line_id")).otherwise(F.col("line_id")).alias("line_id"),
@@ -90,7 +90,7 @@ _PERIOD_SQL = "ps AS (SELECT rc_id, prd_id, CAST(sum(amount) AS DECIMAL(18,2)) A
 
 
 @query(
-    "period_reload", "SNK4", "SNK6",
+    "period_reload", "SNK4",
     sql=duck("schedules", "SELECT rc_id, prd_id, CAST(CASE WHEN prd_id = 199906 THEN amount * 2 ELSE amount END AS DECIMAL(18,2)) AS amount FROM ps", _PERIOD_SQL),
 )
 def period_reload(spark, d):
@@ -101,6 +101,31 @@ def period_reload(spark, d):
     return spark.read.parquet(path).select("rc_id", F.col("prd_id").cast("int").alias("prd_id"), "amount")
 
 
+@query(
+    "work_table_refill", "SNK6",
+    sql=duck("schedules", "SELECT rc_id, prd_id, CAST(amount * 2 AS DECIMAL(18,2)) AS amount FROM ps WHERE prd_id >= 199906", _PERIOD_SQL),
+)
+def work_table_refill(spark, d):
+    """A work table filled twice holds the second filling alone."""
+    path, rows = _scratch(spark), _by_period(spark, d)
+    sinks.refill(rows, path)
+    sinks.refill(rows.where(F.col("prd_id") >= OPEN).withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)")), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "error_log", "SNK7",
+    sql=duck("lines", """SELECT line_id, 'price outside its range' AS error FROM lines WHERE in_range = 'N'
+ UNION ALL SELECT line_id, 'billing pending' FROM lines WHERE bill_pending = 'Y'"""),
+)
+def error_log(spark, d):
+    """Two checks append to one log; a line may be in it twice."""
+    path, ln = _scratch(spark), model.lines(spark, d, "line_id", "in_range", "bill_pending")
+    sinks.append_errors(ln.where("in_range = 'N'").select("line_id", F.lit("price outside its range").alias("error")), path)
+    sinks.append_errors(ln.where("bill_pending = 'Y'").select("line_id", F.lit("billing pending").alias("error")), path)
+    return spark.read.parquet(path)
+
+
 @query(
     "period_snapshot", "SNK3",
     sql=duck("schedules", """SELECT rc_id, CAST(CASE WHEN s = 199906 THEN amount * 3 ELSE amount END AS DECIMAL(18,2)) AS amount, s AS snapshot_prd_id

@@ -213,7 +213,9 @@ def lineage_members(spark, d):
 
 _MERGE = """cand AS (SELECT rc_id FROM (SELECT rc_id, sales_action, count(*) FILTER (line_num <> 7) AS n, max(CASE WHEN in_range = 'N' AND eligible = 'Y' THEN 1 ELSE 0 END) AS q
   FROM lines WHERE supp_key % 2 = 0 AND sales_action IN ('UPGRADE','DOWNGRADE') AND batch_id = 1999 GROUP BY ALL) WHERE q = 1 GROUP BY rc_id HAVING sum(n) > 1),
-mem AS (SELECT DISTINCT seed_id, rc_id FROM (SELECT seed_id, rc_id FROM walk UNION SELECT seed_id, rc_id FROM seeds) WHERE seed_id IN (SELECT rc_id FROM cand)),
+mem0 AS (SELECT DISTINCT seed_id, rc_id FROM (SELECT seed_id, rc_id FROM walk UNION SELECT seed_id, rc_id FROM seeds) WHERE seed_id IN (SELECT rc_id FROM cand)),
+tied AS (SELECT DISTINCT seed_id, seed_id AS other FROM mem0 UNION SELECT t.seed_id, b.seed_id FROM tied t JOIN mem0 a ON a.seed_id = t.other JOIN mem0 b ON b.rc_id = a.rc_id),
+mem AS (SELECT DISTINCT s.seed_id, rc_id FROM mem0 JOIN (SELECT seed_id AS own, min(other) AS seed_id FROM tied GROUP BY ALL) s ON s.own = mem0.seed_id),
 tgt AS (SELECT seed_id, rc_id AS target_rc FROM (SELECT seed_id, m.rc_id, row_number() OVER (PARTITION BY seed_id ORDER BY doc_date, m.rc_id) AS rn FROM mem m JOIN bills b ON b.rc_id = m.rc_id) WHERE rn = 1),
 mv AS (SELECT seed_id, rc_id AS source_rc, target_rc FROM mem JOIN tgt USING (seed_id) WHERE rc_id <> target_rc),
 trt AS (SELECT seed_id, target_rc, CASE WHEN max(treatment) = 'R' THEN 'R' ELSE 'P' END AS treatment FROM mv JOIN contracts ON contracts.rc_id = source_rc GROUP BY ALL)"""

@@ -8,7 +8,7 @@ CAL = """cal AS (
   CAST(date_trunc('quarter', d) AS DATE) AS qtr_start_dt,
   last_day(CAST(date_trunc('quarter', d) AS DATE) + INTERVAL 2 MONTH) AS qtr_end_dt,
   make_date(year(d), 1, 1) AS year_start_dt, make_date(year(d), 12, 31) AS year_end_dt
- FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-01', INTERVAL 1 MONTH) t(g)))"""
+ FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2039-12-01', INTERVAL 1 MONTH) t(g)))"""
 
 LINES = """lines AS (
  SELECT b.*, CAST(alctd_xt_prc - ext_sll_prc AS DECIMAL(18,2)) AS cv_amt FROM (

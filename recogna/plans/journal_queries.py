@@ -9,6 +9,7 @@ from recogna.operators import journal as J
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.sources import model
+from recogna.sources.calendar import following_periods, month_calendar
 
 OPEN = model.OPEN_PRD
 
@@ -133,15 +134,27 @@ def _journal_schedules(spark, d):
 
 
 @query(
-    "journal_reversal", "JE8", "JE10",
+    "journal_reversal", "JE8",
     sql=duck("schedules", """SELECT line_id, seq, prd_id, amount, 'N' AS is_reversal FROM schedules WHERE NOT (schd_type = 'A' AND batch_id = 1999) OR interfaced_flag = 'Y'
- UNION ALL SELECT line_id, seq, 199907, -amount, 'Y' FROM schedules WHERE schd_type = 'A' AND batch_id = 1999 AND interfaced_flag = 'Y'"""),
+ UNION ALL SELECT line_id, seq, greatest(prd_id, 199906), -amount, 'Y' FROM schedules WHERE schd_type = 'A' AND batch_id = 1999 AND interfaced_flag = 'Y'"""),
 )
 def journal_reversal(spark, d):
-    out = J.reverse_journal(_journal_schedules(spark, d), 1999, 199907)
+    out = J.reverse_journal(_journal_schedules(spark, d), 1999, OPEN)
     return out.select("line_id", "seq", "prd_id", F.col("amount").cast("decimal(18,2)").alias("amount"), "is_reversal")
 
 
+@query(
+    "reversal_period", "JE10",
+    sql=duck("cal schedules", """SELECT s.prd_id, (SELECT min(c.prd_id) FROM cal c WHERE c.prd_id > s.prd_id) AS reversal_prd_id, s.amount
+ FROM (SELECT prd_id, CAST(sum(-amount) AS DECIMAL(28,2)) AS amount FROM schedules WHERE schd_type = 'A' GROUP BY prd_id) s"""),
+)
+def reversal_period(spark, d):
+    """What the allocation entries of each period take back in the period that follows it."""
+    entries = model.schedules(spark, d).where("schd_type = 'A'").groupBy("prd_id").agg(F.sum(-F.col("amount")).cast("decimal(28,2)").alias("amount"))
+    following = F.broadcast(following_periods(month_calendar(spark)))
+    return entries.join(following, "prd_id").select("prd_id", F.col("next_prd_id").alias("reversal_prd_id"), "amount")
+
+
 @query(
     "journal_purge", "JE9", "J7",
     sql=duck("lines contracts", """SELECT rc_id AS header_id, line_id FROM lines WHERE rc_id NOT IN (SELECT rc_id FROM contracts WHERE crtd_prd_id = 199906 AND posted = 'N' AND treatment = 'P')"""),

@@ -71,7 +71,7 @@ _RECOGNIZE = f"""per AS (
   date_diff('day', greatest(c.start_date, l.start_date), c.end_date) + 1 AS days
  FROM lines l JOIN cal c ON c.end_date >= l.start_date AND c.start_date <= l.end_date WHERE alctd_xt_prc <> 0),
 run AS (SELECT *, sum(greatest((2 * days * total + span) // (2 * span), 1)) OVER (PARTITION BY line_id ORDER BY prd_id) AS cum FROM per),
-cap AS (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS done FROM run),
+cap AS MATERIALIZED (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS done FROM run),
 inc AS (SELECT *, done - coalesce(lag(done) OVER (PARTITION BY line_id ORDER BY prd_id), 0) AS part FROM cap),
 rec AS (SELECT line_id, rc_id, greatest(prd_id, {OPEN}) AS prd_id, sum(part) AS units FROM inc GROUP BY ALL),
 sched AS (SELECT line_id, rc_id, prd_id, CAST(units / 100.0 AS DECIMAL(18,2)) AS amount FROM rec WHERE units <> 0)"""
@@ -188,12 +188,13 @@ def moved_lines(spark, d):
 
 _HISTORY = """hist AS (SELECT line_id, rc_id, CAST(strftime(start_date, '%Y%m') AS INTEGER) AS prd_id,
  CAST(round(alctd_xt_prc * CAST(0.25 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS amount, 1 AS version
- FROM lines WHERE line_num <= 3)"""
+ FROM lines WHERE sales_action <> 'NEW')"""
 
 
 def _history(ln):
     from recogna.functions.scalars import period_of
-    return ln.where("line_num <= 3").select(
+    # a new line has no schedule yet
+    return ln.where("sales_action <> 'NEW'").select(
         "line_id", "rc_id", period_of(F.col("start_date")).alias("prd_id"),
         F.round(F.col("alctd_xt_prc") * F.lit("0.25").cast("decimal(3,2)"), 2).cast("decimal(18,2)").alias("amount"),
         F.lit(1).alias("version"),
@@ -233,7 +234,7 @@ qcap AS (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS do
 qinc AS (SELECT *, done - coalesce(lag(done) OVER (PARTITION BY line_id ORDER BY prd_id), 0) AS units FROM qcap)"""),
 )
 def schedule_run(spark, d):
-    ln = _sched_lines(spark, d, "line_num", "discount_pct")
+    ln = _sched_lines(spark, d, "sales_action", "discount_pct")
     job = ln.select("line_id", "rc_id", F.col("alctd_xt_prc").alias("amount"), "start_date", "end_date", F.date_add("start_date", 60).alias("init_expiry"))
     suspended = ln.where(F.col("discount_pct") == 10).select("line_id")
     out = S.generate_schedules(job, _history(ln), suspended, month_calendar(spark), OPEN)
@@ -247,7 +248,7 @@ def schedule_run(spark, d):
  f"fresh AS (SELECT line_id, {OPEN} AS prd_id, ext_sll_prc AS amount FROM lines WHERE line_num % 2 = 0)"),
 )
 def future_replacement(spark, d):
-    ln = model.lines(spark, d, "line_id", "rc_id", "line_num", "start_date", "alctd_xt_prc", "ext_sll_prc")
+    ln = model.lines(spark, d, "line_id", "rc_id", "line_num", "sales_action", "start_date", "alctd_xt_prc", "ext_sll_prc")
     fresh = ln.where("line_num % 2 = 0").select("line_id", F.lit(OPEN).alias("prd_id"), F.col("ext_sll_prc").alias("amount"))
     return S.replace_future(_history(ln).select("line_id", "prd_id", "amount"), fresh, OPEN)
 
@@ -274,7 +275,7 @@ def order_on_hand(spark, d):
     return S.order_on_hand(custom, actual, windows, month_calendar(spark), OPEN)
 
 
-SNAPSHOT_SQL = (_RECOGNIZE, _OOH, f"""active AS (SELECT line_id FROM act WHERE prd_id = {OPEN} UNION SELECT line_id FROM sched WHERE prd_id = {OPEN}),
+SNAPSHOT_SQL = (_RECOGNIZE, _OOH, f"""active AS (SELECT line_id FROM schedules WHERE schd_type = 'R' AND prd_id = {OPEN} UNION SELECT line_id FROM sched WHERE prd_id = {OPEN}),
 snap AS (SELECT line_id, prd_id, amount, 'REV' AS rev_type FROM schedules WHERE ((schd_type = 'R' AND initial_flag <> 'Y') OR schd_type = 'A') AND line_id IN (SELECT line_id FROM active) AND line_id IN (SELECT line_id FROM sched)
  UNION ALL SELECT line_id, prd_id, amount, 'NO' FROM sched WHERE line_id IN (SELECT line_id FROM active)
  UNION ALL SELECT line_id, prd_id, amount, 'OOH' FROM ooh WHERE line_id IN (SELECT line_id FROM active) AND line_id IN (SELECT line_id FROM sched))""")
@@ -285,7 +286,7 @@ def snapshot(spark, d):
     # the job stores its schedules as a table; here three branches read them
     custom = cut(custom)
     on_hand = S.order_on_hand(custom, actual, windows, month_calendar(spark), OPEN)
-    return S.waterfall_snapshot(actual, custom, on_hand, OPEN)
+    return S.waterfall_snapshot(actual, custom, on_hand, model.schedules(spark, d), OPEN)
 
 
 @query("waterfall_snapshot", "RS12", "J9", "SE1", sql=duck("cal schedules", "SELECT line_id, prd_id, amount, rev_type FROM snap", *SNAPSHOT_SQL))

@@ -44,6 +44,33 @@ def test_straight_line_catches_up_in_the_open_period(spark, cal):
     assert (rows[202402]["pp_amt"], rows[202402]["pq_amt"], rows[202402]["py_amt"]) == (D("30.36"), D("0.00"), D("0.00"))
 
 
+def test_dates_outside_the_calendar_fail(spark, cal):
+    for first, last in ((date(2022, 12, 1), date(2023, 5, 31)), (date(2027, 6, 1), date(2028, 5, 31))):
+        with pytest.raises(Exception, match="outside the calendar"):
+            S.recognize(line(spark, "1200.00", first, last), cal, 202401).collect()
+
+
+def test_default_calendar_loses_nothing(spark):
+    ln = line(spark, "1200.00", date(2002, 6, 1), date(2003, 5, 31))
+    assert sum(amounts(S.recognize(ln, month_calendar(spark), 200206)).values()) == D("1200.00")
+
+
+def test_overlapping_lineages_have_one_target(spark):
+    members = spark.createDataFrame([(1, 1), (1, 5), (2, 2), (2, 5), (9, 9)], "seed_id long, rc_id long")
+    days = {1: date(2024, 1, 3), 2: date(2024, 1, 1), 5: date(2024, 1, 2), 9: date(2024, 1, 1)}
+    bills = spark.createDataFrame([(k, "INV", v) for k, v in days.items()], "rc_id long, type string, doc_date date")
+    got = sorted(tuple(r) for r in C.merge_lineage(members, bills).collect())
+    assert got == [(1, 1, 2), (1, 5, 2)]
+
+
+def test_initial_revenue_entry_makes_a_line_active(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "line_id string, prd_id int, amount decimal(18,2), schd_type string")
+    custom = rows(("a", 202405, D(1), "R"), ("b", 202405, D(1), "R"))
+    entries = rows(("a", 202404, D(1), "R"), ("b", 202404, D(1), "A"))
+    got = S.waterfall_snapshot(entries.where("false"), custom, custom.where("false"), entries, 202404)
+    assert [r["line_id"] for r in got.collect()] == ["a"]
+
+
 def test_closed_window_posts_everything_in_the_open_period(spark, cal):
     ln = line(spark, "-70.00", date(2023, 3, 1), date(2023, 5, 31))
     assert amounts(S.recognize(ln, cal, 202402)) == {202402: D("-70.00")}
