@@ -129,6 +129,8 @@ def near_vectors(embeddings: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
     of their own. Other columns are ignored. An empty table gives an empty result.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    # -0.0 becomes 0.0: grouping does that to the results, and the rows' join keys must be the same
+    rows = rows.withColumn("embedding", F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
     rows = rows.withColumn("_fit", F.col("label").isNotNull() & usable(F.col("embedding")))
     grouped = rows.where("_fit").groupBy("label", "embedding").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     grouped = grouped.withColumn("rep", F.monotonically_increasing_id()).withColumn("size", F.size("embedding"))

@@ -87,3 +87,11 @@ def test_recall_of_the_tables(spark):
     label = frame["label"].to_numpy()
     want = sum(int((x[label == k] @ x[label == k].T >= 0.98).sum() - (label == k).sum()) for k in set(label))
     assert 0.9 * want <= got <= want
+
+
+def test_negative_zero_components_keep_their_result(spark):
+    x = [1.0, -0.0, 0.5, 0.25]
+    rows = [(1, x, "a"), (2, [1.0, 0.0, 0.5, 0.25], "a"), (3, [1.0, 0.0, 0.5, 0.2501], "a"), (4, [-0.0, 1.0, 0.0, 0.0], "a")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {tuple(r) for r in vector_dedup.near_vectors(frame).collect()}
+    assert got == {(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)}
