@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +36,21 @@ ALPHABETS = [
     "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
     "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "АЕИОУЭЮЯ", "БВГДЖЗКЛМНПРСТФХЦЧШЩ",
     "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
+    "áàâäãåāąæéèêëēęěíìîïīóòôöõøōőœúùûüūůűýÿ", "çćčďđğłľñńňřśšşťțźżžßþ",
+    "ÁÀÂÄÃÅĀĄÆÉÈÊËĒĘĚÍÌÎÏĪÓÒÔÖÕØŌŐŒÚÙÛÜŪŮŰÝ", "ÇĆČĎĐĞŁĽÑŃŇŘŚŠŞŤȚŹŻŽÞ",
+    "ёіїєў", "ъь", "йґ", "ЁІЇЄЎ", "ЪЬ", "ЙҐ", "άέήίόύώϊϋΐΰ", "ΆΈΉΊΌΎΏΪΫ",
+]
+#: A letter of a widened surrogate is replaced by any of its script and case.
+WIDE_ALPHABETS = [
+    (r"\d", "0123456789"),
+    (r"[\p{IsLatin}&&\p{Ll}]", "abcdefghijklmnopqrstuvwxyz"), (r"[\p{IsLatin}&&\p{Lu}]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    (r"[\p{IsCyrillic}&&\p{Ll}]", "абвгдежзиклмнопрстуфхцчшщыэюя"), (r"[\p{IsCyrillic}&&\p{Lu}]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЫЭЮЯ"),
+    (r"[\p{IsGreek}&&\p{Ll}]", "αβγδεζηθικλμνξοπρστυφχψω"), (r"[\p{IsGreek}&&\p{Lu}]", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
 ]
 HEX = "0123456789abcdef"
-#: Attempts after which an entity without a free surrogate is an error.
-ATTEMPTS = 64
+#: Attempts within the entity's own alphabets, and those in which word endings move and letters move within their script;
+#: later surrogates grow by a keyed character an attempt.
+ATTEMPTS, WIDE_ATTEMPTS = 8, 4
 
 
 def kind_of(mention: Column) -> Column:
@@ -62,6 +74,10 @@ def _shifted(char: Column, by: Column, alphabet: str) -> Column:
     return F.substring(F.lit(alphabet), (F.instr(F.lit(alphabet), char) - 1 + by) % n + 1, F.lit(1))
 
 
+def _at(by: Column, alphabet: str) -> Column:
+    return F.substring(F.lit(alphabet), by % len(alphabet) + 1, F.lit(1))
+
+
 def _luhn(digits: Column) -> Column:
     """Digits with the last one set so that the number passes the card check."""
     body = F.split(F.reverse(F.substring(digits, F.lit(1), F.length(digits) - 1)), "")
@@ -74,20 +90,31 @@ def _luhn(digits: Column) -> Column:
     return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), ((10 - total % 10) % 10).cast("string"))
 
 
-def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
+def surrogate(kind: Column, entity: Column, attempt: int, key: str) -> Column:
     """The keyed surrogate of a canonical entity.
 
     The i-th character moves within its alphabet by the i-th byte of a SHA-512 stream over key, kind,
     entity and attempt. Kept as they are: titles and word endings of persons (they carry the gender), the
     country of an IBAN, the first digit of cards and phone numbers, the last label of an address's domain. Parts of
     an IP address are 1 to 254; cards pass the card check.
+
+    After ``ATTEMPTS`` word endings of persons move too and letters become any of their script and case. After
+    ``WIDE_ATTEMPTS`` more every surrogate has keyed characters besides, one more each attempt: letters after
+    names and before addresses, hexadecimal digits for secrets, a further part for IP addresses, otherwise digits.
     """
+    wide, longer = attempt >= ATTEMPTS, max(0, attempt - ATTEMPTS - WIDE_ATTEMPTS + 1)
+    attempt = F.lit(attempt)
     stream = F.concat(*[F.sha2(F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string"), F.lit(str(b))), 512) for b in range(2)])
 
     def byte(i: Column) -> Column:
         return F.conv(F.substring(stream, (i % 128) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
     def moved(char: Column, i: Column) -> Column:
+        if wide:
+            out = F.when(kind == "secret", _at(byte(i), HEX))
+            for fits, alphabet in WIDE_ALPHABETS:
+                out = out.when(char.rlike(fits), _at(byte(i), alphabet))
+            return out.otherwise(char)
         out = reduce(lambda w, a: w.when(F.instr(F.lit(a), char) > 0, _shifted(char, byte(i), a)), ALPHABETS, F.when(kind == "secret", _shifted(char, byte(i), HEX)))
         return out.otherwise(char)
 
@@ -99,10 +126,23 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
 
     def place(char: Column, i: Column) -> Column:
         word_end = (kind == "person") & F.coalesce(F.get(ends, i + 1) == " ", i + 1 == last)
-        return F.when((i < fixed_to) | (i >= fixed_from) | word_end, char).otherwise(moved(char, i))
+        return F.when((i < fixed_to) | (i >= fixed_from) | (F.lit(not wide) & word_end), char).otherwise(moved(char, i))
 
     shaped = F.array_join(F.transform(ends, place), "")
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (byte(i) % 254 + 1).cast("string")), ".")
+    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3 + longer)), lambda i: (byte(i) % 254 + 1).cast("string")), ".")
+    if longer:
+        places = F.sequence(F.lit(1), F.lit(longer))
+
+        def more(alphabet: str) -> Column:  # two bytes of the stream's hash for each character
+            return F.array_join(F.transform(places, lambda i: _at(F.conv(F.substring(F.sha2(F.concat_ws("\x1f", stream, i.cast("string")), 512), F.lit(1), F.lit(4)), 16, 10).cast("int"), alphabet)), "")
+
+        latin, cyrillic, greek = WIDE_ALPHABETS[1][1], WIDE_ALPHABETS[3][1], WIDE_ALPHABETS[5][1]
+        letters = F.when(entity.rlike(r"\p{IsCyrillic}$"), more(cyrillic)).when(entity.rlike(r"\p{IsGreek}$"), more(greek)).otherwise(more(latin))
+        shaped = (
+            F.when(kind == "person", F.concat(shaped, letters))
+            .when(kind == "email", F.concat(more(latin), shaped))
+            .otherwise(F.concat(shaped, F.when(kind == "secret", more(HEX)).otherwise(more(WIDE_ALPHABETS[0][1]))))
+        )
     return F.when(kind == "ip", octets).when(kind == "card", _luhn(shaped)).otherwise(shaped)
 
 
@@ -119,7 +159,8 @@ def rendered(mention: Column, kind: Column, replacement: Column) -> Column:
                 F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))
             ),
         )
-        return counted["out"]
+        # a widened surrogate has characters beyond the mention's
+        return F.concat(counted["out"], F.substring(replacement, counted["at"] + 1, F.length(replacement)))
 
     return (
         F.when(kind.isin("phone", "card", "ssn"), laid("[0-9]"))
@@ -133,13 +174,14 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """(kind, entity, surrogate): one surrogate for each entity of the corpus, no two alike, none of them an entity.
 
     Each round proposes a surrogate for the entities still open. A proposal stands if it is nobody's real
-    data and not taken, and goes to the smallest of those that proposed it; the others try their next one.
+    data and not taken, and goes to the smallest of those that proposed it; the others try their next one. Where
+    an entity's own shape has no free surrogate, later attempts widen it and then make it longer, so all get one.
     """
     entities = stored(entities, "pii-entities")
     real = entities.select("kind", F.col("entity").alias("surrogate"))
     done, pending = None, entities
-    for attempt in range(ATTEMPTS):
-        offers = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.lit(attempt), key))
+    for attempt in count():
+        offers = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), attempt, key))
         free = offers.join(real, ["kind", "surrogate"], "left_anti")
         if done is not None:
             free = free.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
@@ -148,7 +190,6 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         pending = entities.join(done, ["kind", "entity"], "left_anti")
         if pending.isEmpty():
             return done
-    raise ValueError(f"no free surrogate for some entities after {ATTEMPTS} attempts")
 
 
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
