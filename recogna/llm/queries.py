@@ -8,7 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recogna.llm import language, line_dedup, packing, pii, piece_lattice, quality, simhash, token_records, url_filter, vector_dedup
+from recogna.llm import (
+    conversation_trie, language, line_dedup, packing, pii, piece_lattice, quality, simhash, source_audit, token_records, topk_search, url_filter, vector_dedup,
+)
 from recogna.llm.common import known_to_workers, table
 
 TOKENIZERS = {"bytes": "byte_bpe_50k.json", "words": "word_bpe_49k.json", "pieces": "piece_bpe_32k.model"}
@@ -81,6 +83,18 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audited(table(spark, sf_dir, "documents"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(run)
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +109,7 @@ QUERIES = {
     for f in (
         op1_pii_surrogates, op2_line_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_token_records,
         op6_sentencepiece, op7_url_filters, op8_quality_rules, op9_language_id, op10_embedding_near_dedup,
+        op11_source_audit, op12_topk_search, op13_conversation_trie,
     )
 }
 #: White space of the word and line rules, and A-Z lower-cased, in DuckDB.
@@ -139,5 +154,75 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   AND NOT (length(text) - length(replace(text, '!', ''))) / greatest(n_words, 1) > 0.5
   AND NOT (length(text) - length(regexp_replace(text, '\\p{{L}}+', '', 'g'))) / greatest(word_chars, 1) < 0.5 AS kept
 FROM judged
+""",
+    "op11_source_audit": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS MATERIALIZED (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), kept AS MATERIALIZED (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grid AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, k.term) AS n_lang, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang) AS total_lang, v
+  FROM (SELECT DISTINCT lang, source FROM d) g JOIN kept k ON g.lang = k.lang JOIN sizes s ON g.lang = s.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (total + 5 * v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (n_lang + 5)) // (total_lang + 5 * v) AS q
+  FROM grid
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""",
+    "op12_topk_search": """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.r AS q, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op13_conversation_trie": """
+WITH own AS MATERIALIZED (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s,
+    list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda t, z: CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END),
+      4294967295) AS crc
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), convs AS MATERIALIZED (
+  SELECT c.conv_id, list_concat(coalesce(b.s[1:xor(c.crc, 4294967295) % 6], []), c.s[xor(c.crc, 4294967295) % 6 + 1:]) AS s
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+), nodes AS MATERIALIZED (
+  SELECT s[1:d] AS seq, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(s) = d) AS ids
+  FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM convs) GROUP BY s[1:d], d
+), valued AS MATERIALIZED (
+  SELECT n.*, p.conv_id AS parent_conv_id, (n.n_convs - 1) * coalesce(length(n.seq[n.d].t), 0) AS saved,
+    (SELECT count(*) FROM nodes k WHERE k.d = n.d + 1 AND k.seq[1:n.d] = n.seq) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.seq = n.seq[1:n.d - 1]
+), below AS (
+  SELECT seq[1:a] AS seq, a AS d, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT seq, saved, n_children, unnest(range(d + 1)) AS a FROM valued) GROUP BY seq[1:a], a
+)
+SELECT v.conv_id, v.d AS depth, v.parent_conv_id, v.n_convs, v.n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens,
+  sha256(coalesce(v.ids, '')) AS ends_sha256
+FROM valued v JOIN below b ON b.d = v.d AND b.seq = v.seq
 """,
 }
