@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "region nation customer supplier part orders lineitem documents pages embeddings".split()
+TABLES = "region nation customer supplier part orders lineitem documents pages embeddings conversations".split()
 
 
 @pytest.fixture(scope="module")
