@@ -21,7 +21,7 @@ SMOOTH = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
 #: A worker passes its counts on when it holds so many.
-_HELD = 300_000
+_HELD = 800_000
 #: Bits of the map of open terms that every worker gets, 8 MB however many there are.
 _BITS = 1 << 26
 #: Cells (terms x sources) of the largest matrix a task makes, roughly.
@@ -43,28 +43,31 @@ def chunk_counts(rows: DataFrame) -> DataFrame:
     """
 
     def passed(held: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (docs, times) in held.items():
-            n = len(times)
-            columns = [pa.array(list(times), pa.binary()), pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string())]
-            columns += [pa.array(np.fromiter((docs[c] for c in times), np.int64, n)), pa.array(np.fromiter(times.values(), np.int64, n))]
+        for (lang, source), (docs, more) in held.items():
+            n = len(docs)
+            counts = np.fromiter(docs.values(), np.int64, n)
+            times = counts + np.fromiter((more.get(c, 0) for c in docs), np.int64, n)
+            columns = [pa.array(list(docs), pa.binary()), pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(counts), pa.array(times)]
             yield pa.RecordBatch.from_arrays(columns, ["chunk", "lang", "source", "docs", "times"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}  # documents of each chunk; its occurrences beyond one a document
+        size = 0
         for batch in batches:
             for lang, source, value in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("data"), strict=True):
-                words = (value.as_py() or b"").split()  # of bytes: at [\x20\x09-\x0D] only
+                words = Counter((value.as_py() or b"").split())  # of bytes: at [\x20\x09-\x0D] only
                 if not words:
                     continue
-                docs, times = held.setdefault((lang, source), (Counter(), Counter()))
-                docs.update(set(words))
-                times.update(words)
-                if len(words) > _HELD // 100 and sum(len(t) for _, t in held.values()) > _HELD:
+                docs, more = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(docs)
+                docs.update(words.keys())
+                size += len(docs)
+                for word, n in words.items():
+                    if n > 1:
+                        more[word] += n - 1
+                if size > _HELD:
                     yield from passed(held)
-                    held = {}
-            if sum(len(t) for _, t in held.values()) > _HELD:
-                yield from passed(held)
-                held = {}
+                    held, size = {}, 0
         yield from passed(held)
 
     counted = rows.mapInArrow(run, "chunk binary, lang string, source string, docs long, times long")
@@ -75,12 +78,14 @@ def chunk_counts(rows: DataFrame) -> DataFrame:
 def term_counts(rows: DataFrame) -> DataFrame:
     """(lang, source, term, times, least, most): occurrences, and bounds of the number of documents.
 
-    Every distinct chunk is cut into its terms once, and its terms join the chunk's counts. A document that has
+    Every distinct chunk is cut into its terms once, where all counts of the chunk are: its groups, of which there are
+    as many as sources at most, gather in one row, and terms and groups join there. A document that has
     several chunks of a term makes their sum too large, and their largest number is too small: the two bounds.
     """
-    counts = chunk_counts(rows)
-    terms = counts.select("chunk").distinct().select("chunk", F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"))
-    spread = counts.join(terms, "chunk").select("lang", "source", "docs", "times", F.explode("terms").alias("term"))
+    groups = F.collect_list(F.struct("lang", "source", "docs", "times")).alias("groups")
+    terms = F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(TERM), F.lit(0))
+    chunks = chunk_counts(rows).groupBy("chunk").agg(groups).select("groups", F.explode(terms).alias("term"))
+    spread = chunks.select("term", F.explode("groups").alias("g")).select("term", "g.*")
     return spread.groupBy("lang", "source", "term").agg(F.sum("times").alias("times"), F.max("docs").alias("least"), F.sum("docs").alias("most"))
 
 
