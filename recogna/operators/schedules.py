@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recogna.functions.scalars import flag_at, inclusive_days, period_of, period_start, shift_period
+from recogna.functions.scalars import flag_at, inclusive_days
 from recogna.functions.skew import attach
-from recogna.sources.calendar import MONTH_LENGTHS, covered, prior_period_ids
+from recogna.sources.fiscal import FiscalCalendar
 
 
 def _offset(text: Column) -> Column:
@@ -50,146 +51,141 @@ def _prorated(days: Column, total: Column, span: Column) -> Column:
     return F.greatest(F.call_function("div", days * total * 2 + span, span * 2), F.lit(1).cast("bigint"))
 
 
-def _cumulative(at: str, begin: str) -> Column:
-    """Uncapped units recognised up to the period whose calendar counts are ``{at}c28..c31``."""
-    full = [(F.col(f"{at}c{n}") - F.col(f"{begin}c{n}")) * F.col(f"_full{n}") for n in MONTH_LENGTHS]
-    return F.col("_first") + reduce(lambda a, b: a + b, full)
+def _period(prd: int | str | Column) -> Column:
+    """An open period given as an id, as the name of a column or as a column."""
+    return F.col(prd) if isinstance(prd, str) else prd if isinstance(prd, Column) else F.lit(prd)
 
 
-def _calendar_as(calendar: DataFrame, prefix: str, *more: str) -> DataFrame:
-    return F.broadcast(
-        calendar.select(*[F.col(c).alias(f"{prefix}{c}") for c in ("prd_id", *more, *[f"c{n}" for n in MONTH_LENGTHS])])
+def _sum(columns: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, columns)
+
+
+def _back(units: Column, digits: int) -> Column:
+    return (units * F.col("_sign") / 10**digits).cast(f"decimal(18,{digits})")
+
+
+def _spread(rows: DataFrame, cal: FiscalCalendar, open_p: Column, value: Column, start: str, end: str, keep_zero: Column) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """One row for each period that ``value`` units are recognised in, with ``_p`` (its place) and ``_units``.
+
+    Only rounding makes the rule sequential, and all full periods of one length round alike, so the running total is
+    closed arithmetic over the calendar's counts of periods by length. Also returns that running total, capped by
+    the value, as a function of a place.
+    """
+    base = rows.where(((value != 0) & (F.col(end) >= F.col(start))) | keep_zero)
+    base = base.withColumns({"_b": cal.place(F.col(start)), "_e": cal.place(F.col(end)), "_o": cal.place_of(open_p)})
+    base = base.where(cal.known(F.col(start), F.col("_b"), F.col(end), F.col("_e"), open_p, F.col("_o")))
+    # everything that depends on the line alone is computed before the rows multiply
+    base = base.withColumns(
+        {
+            "_total": F.abs(value),
+            "_sign": F.signum(value.cast("double")).cast("int"),
+            "_span": inclusive_days(F.col(start), F.col(end)).cast("bigint"),
+        }
+    ).withColumns(
+        {
+            "_first": _prorated(inclusive_days(F.col(start), cal.end_at(F.col("_b"))).cast("bigint"), F.col("_total"), F.col("_span")),
+            **{f"_full{n}": _prorated(F.lit(n).cast("bigint"), F.col("_total"), F.col("_span")) for n in cal.lengths},
+            **{f"_before{n}": cal.count_at(n, F.col("_b")) for n in cal.lengths},
+        }
     )
+    out = base.withColumn("_p", F.explode(F.sequence(F.greatest("_b", "_o"), F.greatest("_e", "_o"))))
+
+    def running(at: Column) -> Column:
+        return F.col("_first") + _sum([(cal.count_at(n, at) - F.col(f"_before{n}")) * F.col(f"_full{n}") for n in cal.lengths])
+
+    def capped(at: Column) -> Column:
+        return F.least(running(at), F.col("_total"))
+
+    own = reduce(lambda acc, n: F.when(cal.days_at(F.col("_p")) == n, F.col(f"_full{n}")).otherwise(acc), cal.lengths[:-1], F.col(f"_full{cal.lengths[-1]}"))
+    done = F.when(F.col("_p") >= F.col("_e"), F.col("_total")).otherwise(capped(F.col("_p")))
+    before = F.when(F.col("_p") == F.greatest("_b", "_o"), F.lit(0).cast("bigint")).otherwise(F.least(running(F.col("_p")) - own, F.col("_total")))
+    return out.withColumn("_units", done - before).where((F.col("_units") > 0) | keep_zero), capped
 
 
 def recognize(
     lines: DataFrame,
-    calendar: DataFrame,
-    open_prd: int | str,
+    calendar: FiscalCalendar | DataFrame,
+    open_prd: int | str | Column,
     amount: str = "amount",
     start: str = "start_date",
     end: str = "end_date",
     digits: int = 2,
     splits: bool = False,
 ) -> DataFrame:
-    """Straight-line daily recognition over month periods.
+    """Straight-line daily recognition over the calendar's periods, of whatever length.
 
     Each period takes its days times the daily amount, rounded; the first period counts
     from the start date, the running total never passes the value and the period that
     holds the end date takes what is left.  Periods before the open one are posted with
-    the open one.  Zero period amounts count as the smallest currency unit.
+    the open one, which may differ from line to line.  Zero period amounts count as the smallest currency unit.
 
-    Only rounding makes the rule sequential, and all full months of one length round
-    alike, so the running total is closed arithmetic over the calendar's month-length
-    counts: no window, no shuffle, one exploded row per emitted period. A line whose dates the
+    No join, no window and no shuffle: one exploded row per emitted period. A line whose dates the
     calendar doesn't cover fails the job.
 
     With ``splits`` the amounts belonging to the previous year, quarter and period are
     added to the row of the open period.
     """
-    open_p = F.col(open_prd) if isinstance(open_prd, str) else F.lit(open_prd)
-    value = _units(F.col(amount), digits)
-    due = lines.where((value != 0) & (F.col(end) >= F.col(start)))
-    base = due.where(covered(calendar, F.col(start), F.col(end), period_start(open_p))).select(
-        "*",
-        F.abs(value).alias("_total"),
-        F.signum(F.col(amount).cast("double")).cast("int").alias("_sign"),
-        inclusive_days(F.col(start), F.col(end)).cast("bigint").alias("_span"),
-        period_of(F.col(start)).alias("_b_prd_id"),
-        period_of(F.col(end)).alias("_last_prd"),
-    )
-    # everything that depends on the line alone is computed before the rows multiply
-    base = base.join(_calendar_as(calendar, "_b_", "end_date"), "_b_prd_id").withColumns(
-        {
-            "_first": _prorated(inclusive_days(F.col(start), F.col("_b_end_date")).cast("bigint"), F.col("_total"), F.col("_span")),
-            **{f"_full{n}": _prorated(F.lit(n).cast("bigint"), F.col("_total"), F.col("_span")) for n in MONTH_LENGTHS},
-        }
-    )
-    from_prd = F.greatest(F.col("_b_prd_id"), open_p)
-    to_prd = F.greatest(F.col("_last_prd"), open_p)
-    rows = base.withColumn(
-        "_month", F.explode(F.sequence(period_start(from_prd), period_start(to_prd), F.expr("interval 1 month")))
-    )
-    rows = rows.withColumn("_p_prd_id", period_of(F.col("_month"))).join(_calendar_as(calendar, "_p_", "end_date"), "_p_prd_id")
-
-    def capped(at: str) -> Column:
-        return F.least(_cumulative(at, "_b_"), F.col("_total"))
-
-    own = reduce(
-        lambda acc, n: acc.when(F.dayofmonth("_p_end_date") == n, F.col(f"_full{n}")),
-        MONTH_LENGTHS[1:],
-        F.when(F.dayofmonth("_p_end_date") == MONTH_LENGTHS[0], F.col(f"_full{MONTH_LENGTHS[0]}")),
-    )
-    done = F.when(F.col("_p_prd_id") >= F.col("_last_prd"), F.col("_total")).otherwise(capped("_p_"))
-    before = F.when(F.col("_p_prd_id") == from_prd, F.lit(0).cast("bigint")).otherwise(
-        F.least(_cumulative("_p_", "_b_") - own, F.col("_total"))
-    )
-    rows = rows.withColumn("_units", done - before).where(F.col("_units") > 0)
-
-    def back(units: Column) -> Column:
-        return (units * F.col("_sign") / 10**digits).cast(f"decimal(18,{digits})")
-
-    out = [*lines.columns, F.col("_p_prd_id").alias("prd_id"), back(F.col("_units")).alias("rel_amt")]
+    cal = FiscalCalendar.of(calendar)
+    rows, capped = _spread(lines, cal, _period(open_prd), _units(F.col(amount), digits), start, end, F.lit(False))
+    out = [*lines.columns, cal.id_at(F.col("_p")).alias("prd_id"), _back(F.col("_units"), digits).alias("rel_amt")]
     if splits:
-        if isinstance(open_prd, str):
-            raise ValueError("prior-period splits need one open period")
-        rows, parts = _prior_splits(rows, calendar, open_prd, capped)
-        out += [back(parts[k]).alias(f"{k}_amt") for k in ("py", "pq", "pp")]
+        parts = _prior_splits(cal, capped)
+        out += [_back(parts[k], digits).alias(f"{k}_amt") for k in ("py", "pq", "pp")]
     return rows.select(*out)
 
 
-def _prior_splits(rows: DataFrame, calendar: DataFrame, open_prd: int, capped) -> tuple[DataFrame, dict[str, Column]]:
-    ids = prior_period_ids(open_prd)
-    # three calendar rows at most, which become literals of the plan
-    ends = {r["prd_id"]: r for r in calendar.where(F.col("prd_id").isin(*ids.values())).collect()}
-    for tag, prd in (("_y_", ids["year"]), ("_k_", ids["quarter"]), ("_m_", ids["period"])):
-        rows = rows.withColumns({f"{tag}c{n}": F.lit(ends[prd][f"c{n}"] if prd in ends else None).cast("long") for n in MONTH_LENGTHS})
+def _prior_splits(cal: FiscalCalendar, capped: Callable[[Column], Column]) -> dict[str, Column]:
+    opened = F.col("_o")
+    year, quarter, period = cal.year_end_before(opened), cal.quarter_end_before(opened), cal.period_before(opened)
 
-    def reached(prd: int, tag: str, taken: bool) -> Column:
-        inside = (F.lit(prd) >= F.col("_b_prd_id")) & (F.lit(prd) < F.col("_last_prd")) & (F.col("_p_prd_id") == open_prd)
-        return F.when(inside & F.lit(not taken), capped(tag)).otherwise(F.lit(0).cast("bigint"))
+    def reached(at: Column, taken: Column) -> Column:
+        inside = (at >= F.col("_b")) & (at < F.col("_e")) & (F.col("_p") == opened)
+        return F.when(inside & ~taken, capped(at)).otherwise(F.lit(0).cast("bigint"))
 
-    # an id that is both year and quarter end counts for the year only, and so on; the
+    # a period that is both year and quarter end counts for the year only, and so on; the
     # earlier parts are signed before they are taken off the unsigned running amount
     sign = F.col("_sign")
-    py = reached(ids["year"], "_y_", False)
-    at_q = reached(ids["quarter"], "_k_", ids["quarter"] == ids["year"])
+    same = lambda a, b: a.eqNullSafe(b)
+    py = reached(year, F.lit(False))
+    at_q = reached(quarter, same(quarter, year))
     pq = F.when(at_q > 0, at_q - py * sign).otherwise(0)
-    at_m = reached(ids["period"], "_m_", ids["period"] in (ids["year"], ids["quarter"]))
+    at_m = reached(period, same(period, year) | same(period, quarter))
     pp = F.when(at_m > 0, at_m - (py * sign + pq * sign)).otherwise(0)
-    return rows, {"py": py, "pq": pq, "pp": pp}
+    return {"py": py, "pq": pq, "pp": pp}
+
+
+def _earned(cal: FiscalCalendar, opened: Column, value: Column, past: Column, start: str, end: str) -> Column:
+    """Consumed days over all days times the value, less what is scheduled already, as of the end of the open period."""
+    total_days = inclusive_days(F.col(start), F.col(end))
+    until = F.when(F.col(end) <= cal.start_at(opened), F.col(end)).otherwise(cal.end_at(opened))
+    consumed = inclusive_days(F.col(start), until)
+    # numerator in whole cents, so the rounding is exact
+    above = _units(value, 2) * consumed - _units(past, 2) * total_days
+    earned = F.call_function("div", F.abs(above) * 2 + total_days, total_days.cast("bigint") * 2) * F.signum(above.cast("double")).cast("bigint")
+    return (earned / 100).cast("decimal(18,2)")
 
 
 def recognize_prospective(
-    lines: DataFrame, calendar: DataFrame, open_prd: int, amount: str = "amount", scheduled: str = "scheduled",
+    lines: DataFrame, calendar: FiscalCalendar | DataFrame, open_prd: int | str | Column, amount: str = "amount", scheduled: str = "scheduled",
     start: str = "start_date", end: str = "end_date",
 ) -> DataFrame:
     """Revision of a running schedule: catch up in the open period, the rest straight-line after it.
 
     Consumed days over all days times the value, less what is already scheduled, goes to
-    the open period; the remainder is recognised from the following month on.
+    the open period; the remainder is recognised from the following period on.
     """
-    open_start = period_start(F.lit(open_prd))
-    total_days = inclusive_days(F.col(start), F.col(end))
-    until = F.when(F.col(end) <= open_start, F.col(end)).otherwise(F.last_day(open_start))
+    cal = FiscalCalendar.of(calendar)
     value, past = F.col(amount), F.col(scheduled)
-    consumed = inclusive_days(F.col(start), until)
-    # numerator in whole cents, so the rounding is exact
-    earned = F.call_function(
-        "div",
-        F.abs(_units(value, 2) * consumed - _units(past, 2) * total_days) * 2 + total_days,
-        total_days.cast("bigint") * 2,
-    ) * F.signum((_units(value, 2) * consumed - _units(past, 2) * total_days).cast("double")).cast("bigint")
-    base = lines.withColumn("_now", (earned / 100).cast("decimal(18,2)")).withColumn(
+    base = lines.withColumn("_at", cal.place_of(_period(open_prd))).where(cal.known(_period(open_prd), F.col("_at")))
+    base = base.withColumn("_now", _earned(cal, F.col("_at"), value, past, start, end)).withColumn(
         "_rest", (value - past - F.col("_now")).cast("decimal(18,2)")
     )
     current = base.where(F.col("_now") != 0).select(
-        *lines.columns, F.lit(open_prd).alias("prd_id"), F.col("_now").alias("rel_amt"), F.lit("CATCH-UP").alias("part")
+        *lines.columns, cal.id_at(F.col("_at")).alias("prd_id"), F.col("_now").alias("rel_amt"), F.lit("CATCH-UP").alias("part")
     )
-    following = shift_period(open_prd, 1)
-    remaining = base.where(F.col("_rest") != 0).withColumn("_from", F.add_months(open_start, 1))
+    remaining = base.where(F.col("_rest") != 0).withColumn("_from", cal.start_at(F.col("_at") + 1)).withColumn("_next", cal.id_at(F.col("_at") + 1))
     running = recognize(
-        remaining.withColumn("_to", F.greatest(F.col(end), F.col("_from"))), calendar, following, "_rest", "_from", "_to"
+        remaining.withColumn("_to", F.greatest(F.col(end), F.col("_from"))), cal, "_next", "_rest", "_from", "_to"
     ).select(*lines.columns, "prd_id", "rel_amt", F.lit("REMAINDER").alias("part"))
     return current.unionByName(running)
 
@@ -277,15 +273,16 @@ def invalidate_moved(lines: DataFrame, schedules: DataFrame, moved_since: Column
 
 
 def order_on_hand(
-    custom: DataFrame, actual: DataFrame, windows: DataFrame, calendar: DataFrame, open_prd: int
+    custom: DataFrame, actual: DataFrame, windows: DataFrame, calendar: FiscalCalendar | DataFrame, open_prd: int | str | Column
 ) -> DataFrame:
     """Custom minus actual amount per line and period of the line's window.
 
     The differences of periods before the open one are kept and also carried into the
-    open one; zero differences are kept.  Amounts are summed per line and period first, so
-    the map that gathers a line's periods never exceeds the calendar, and the window's
-    months are generated from it without another shuffle.
+    open one, which ``windows`` may name line by line; zero differences are kept.  Amounts are summed per line and
+    period first, so the map that gathers a line's periods never exceeds the calendar, and the window's
+    periods are generated from it without another shuffle.
     """
+    cal = FiscalCalendar.of(calendar)
     signed = custom.select("line_id", "prd_id", F.col("amount").cast("decimal(18,2)").alias("amount")).unionByName(
         actual.select("line_id", "prd_id", (-F.col("amount")).cast("decimal(18,2)").alias("amount"))
     )
@@ -293,84 +290,118 @@ def order_on_hand(
     per_line = per_period.groupBy("line_id").agg(
         F.map_from_entries(F.collect_list(F.struct("prd_id", "diff"))).alias("diffs")
     )
-    month = lambda c: F.to_date(F.date_trunc("month", c))
     zero = F.lit(0).cast("decimal(18,2)")
-    first = period_of(F.col("first_date"))
-    last = period_of(F.col("last_date"))
-    earlier = F.map_filter(
-        F.col("diffs"), lambda prd, _: prd.between(F.col("_first"), F.least(F.col("_last"), F.lit(open_prd - 1)))
-    )
+    bounds = windows.select("line_id", _period(open_prd).alias("_open"), F.col("first_date").alias("_fd"), F.col("last_date").alias("_ld"))
+    bounds = bounds.withColumns({"_first": cal.place(F.col("_fd")), "_last": cal.place(F.col("_ld"))})
+    bounds = bounds.where(cal.known(F.col("_fd"), F.col("_first"), F.col("_ld"), F.col("_last")))
+    from_prd, to_prd = cal.id_at(F.col("_first")), cal.id_at(F.col("_last"))
+    bounds = bounds.select("line_id", "_open", "_first", "_last", from_prd.alias("_from"), to_prd.alias("_to"))
+    earlier = F.map_filter(F.col("diffs"), lambda prd, _: prd.between(F.col("_from"), F.least(F.col("_to"), F.col("_open") - 1)))
     carried = F.aggregate(F.map_values(F.col("_earlier")), zero, lambda acc, v: (acc + v).cast("decimal(18,2)"))
     rows = (
-        windows.where(covered(calendar, F.col("first_date"), F.col("last_date")))
-        .select("line_id", "first_date", "last_date", first.alias("_first"), last.alias("_last"))
-        .join(per_line, "line_id", "left")
+        bounds.join(per_line, "line_id", "left")
         .withColumn("_earlier", earlier)
         .withColumn("_carried", F.coalesce(carried, zero))
-        .withColumn("m", F.explode(F.sequence(month("first_date"), month("last_date"), F.expr("interval 1 month"))))
-        .withColumn("prd_id", period_of(F.col("m")))
+        .withColumn("_p", F.explode(F.when(F.col("_last") >= F.col("_first"), F.sequence("_first", "_last"))))
+        .withColumn("prd_id", cal.id_at(F.col("_p")))
     )
     own = F.coalesce(F.try_element_at("diffs", F.col("prd_id")), zero)
-    amount = own + F.when(F.col("prd_id") == open_prd, F.col("_carried")).otherwise(zero)
-    in_calendar = rows.join(F.broadcast(calendar.select("prd_id")), "prd_id", "left_semi")
-    return in_calendar.select("line_id", "prd_id", amount.cast("decimal(18,2)").alias("amount"))
+    amount = own + F.when(F.col("prd_id") == F.col("_open"), F.col("_carried")).otherwise(zero)
+    return rows.select("line_id", "prd_id", amount.cast("decimal(18,2)").alias("amount"))
 
 
-def replace_future(history: DataFrame, fresh: DataFrame, open_prd: int) -> DataFrame:
-    """Keep closed periods of the lines in ``fresh`` and replace the open and later ones."""
-    touched = fresh.select("line_id").distinct()
-    kept = history.join(touched, "line_id", "left_anti").unionByName(
-        history.where(F.col("prd_id") < open_prd).join(touched, "line_id", "left_semi")
-    )
-    return kept.unionByName(fresh)
+def replace_future(history: DataFrame, fresh: DataFrame, open_prd: int | str) -> DataFrame:
+    """Keep closed periods of the lines in ``fresh`` and replace the open and later ones.
+
+    The open period is an id, or a column of ``fresh`` that holds each line's own.
+    """
+    touched = fresh.select("line_id", _period(open_prd).alias("_open")).groupBy("line_id").agg(F.min("_open").alias("_open"))
+    kept = history.join(touched, "line_id", "left").where(F.col("_open").isNull() | (F.col("prd_id") < F.col("_open")))
+    return kept.select(*history.columns).unionByName(fresh.select(*history.columns))
+
+
+def with_open_period(lines: DataFrame, periods: DataFrame, keys: Sequence[str] = ("book_id", "org")) -> DataFrame:
+    """Add ``open_prd``, the open period of the line's book and organisation; null where none is open.
+
+    ``periods``: one row for each of the keys, period and status. If several are open for one of them,
+    the earliest counts: the run that follows it finds nothing changed.
+    """
+    opened = periods.where("status = 'OPEN'").groupBy(*keys).agg(F.min("prd_id").alias("open_prd"))
+    return attach(lines, opened, list(keys))
 
 
 def generate_schedules(
-    lines: DataFrame, history: DataFrame, suspended: DataFrame, calendar: DataFrame, open_prd: int
+    lines: DataFrame, history: DataFrame, suspended: DataFrame, calendar: FiscalCalendar | DataFrame, open_prd: int | str
 ) -> DataFrame:
-    """One run of the schedule job for an open period.
+    """One run of the schedule job for every open period.
 
-    ``lines``: line_id, rc_id, amount, start_date, end_date, init_expiry.  ``history``:
-    line_id, prd_id, amount, version.  Suspended lines get one zero row when they have no
-    schedule yet and are skipped otherwise.  The others keep closed periods, take the next
+    ``lines``: line_id, rc_id, amount, start_date, end_date, init_expiry and, if ``open_prd`` names a column,
+    the open period of each line.  ``history``: line_id, rc_id, prd_id, amount, version.  Suspended lines get one zero
+    row when they have no schedule yet and are skipped otherwise.  The others keep closed periods, take the next
     version and are rebuilt: straight-line in the initial period, prospectively after it. Lines
-    that are held or not part of the run keep their later periods too.
+    that are held, have no open period or are not part of the run keep their later periods too.
+
+    Lines and history meet once. What a line is to emit becomes an array of jobs - its own stored rows
+    (a line has one for each period at most), the catch-up, the remainder or the whole value - and all jobs are spread
+    over their periods by one expression.
     """
-    past = history.groupBy("line_id").agg(
-        F.sum(F.when(F.col("prd_id") < open_prd, F.col("amount"))).alias("_past"),
-        F.max("version").alias("_version"),
-    )
+    cal = FiscalCalendar.of(calendar)
+    zero = F.lit(0).cast("decimal(18,2)")
+    stored = F.struct("prd_id", F.col("amount").cast("decimal(18,2)").alias("amount"), F.col("version").cast("int").alias("version"), F.col("rc_id").cast("long").alias("rc_id"))
+    past = history.groupBy("line_id").agg(F.collect_list(stored).alias("_rows"))
     hold = suspended.select("line_id").distinct().withColumn("_hold", F.lit(True))
-    state = (
-        lines.join(past, "line_id", "left")
-        .join(hold, "line_id", "left")
-        .withColumn("scheduled", F.coalesce("_past", F.lit(0)).cast("decimal(18,2)"))
-        .withColumn("version", F.coalesce("_version", F.lit(0)) + 1)
-        .withColumn("_on_hold", F.coalesce("_hold", F.lit(False)))
-        .withColumn("_has_schedule", F.col("_version").isNotNull())
+    job = lines.select(
+        "line_id", F.col("rc_id").cast("long").alias("rc_id"), F.col("amount").cast("decimal(18,2)").alias("value"), "start_date", "end_date", "init_expiry", _period(open_prd).alias("open_prd")
     )
-    open_end = F.last_day(period_start(F.lit(open_prd)))
-    columns = ["line_id", "rc_id", "version", "prd_id"]
-    held = state.where(F.col("_on_hold") & ~F.col("_has_schedule")).select(
-        "line_id", "rc_id", F.lit(1).alias("version"), F.lit(open_prd).alias("prd_id"),
-        F.lit(0).cast("decimal(18,2)").alias("amount"), F.lit("HELD").alias("rule"),
+    state = job.join(hold, "line_id", "left").join(past, "line_id", "full").withColumn("_at", cal.place_of(F.col("open_prd")))
+    state = state.where(cal.known(F.col("open_prd"), F.col("_at")))
+    opened, at, rows = F.col("open_prd"), F.col("_at"), F.coalesce("_rows", F.array())
+    closed = F.filter(rows, lambda r: r["prd_id"] < opened)
+    state = state.withColumns(
+        {
+            "scheduled": F.aggregate(closed, zero, lambda a, r: (a + r["amount"]).cast("decimal(18,2)")),
+            "version": F.aggregate(rows, F.lit(0), lambda a, r: F.greatest(a, r["version"])) + 1,
+            "_in_run": opened.isNotNull(),
+            "_held": F.coalesce("_hold", F.lit(False)),
+        }
     )
-    live = state.where(~F.col("_on_hold")).select(
-        "line_id", "rc_id", "version", "scheduled", "start_date", "end_date", "init_expiry",
-        F.col("amount").alias("value"), (F.col("amount") - F.col("scheduled")).cast("decimal(18,2)").alias("open_value"),
+    live = F.col("_in_run") & ~F.col("_held")
+    state = state.withColumn("_live", F.coalesce(live, F.lit(False))).withColumns(
+        {
+            "_revised": F.col("_live") & F.coalesce(F.col("init_expiry") < cal.end_at(at), F.lit(False)),
+            "_now": _earned(cal, at, F.col("value"), F.col("scheduled"), "start_date", "end_date"),
+        }
     )
-    revision = F.col("init_expiry") < open_end
-    initial = recognize(live.where(~revision), calendar, open_prd, "open_value")
-    revised = recognize_prospective(live.where(revision), calendar, open_prd, "value", "scheduled")
-    rebuilt = live.select("line_id").distinct()
-    later = history.where(F.col("prd_id") >= open_prd).join(rebuilt, "line_id", "left_anti")
-    kept = history.where(F.col("prd_id") < open_prd)
-    return (
-        held.unionByName(initial.select(*columns, F.col("rel_amt").alias("amount"), F.lit("INITIAL").alias("rule")))
-        .unionByName(revised.select(*columns, F.col("rel_amt").alias("amount"), F.lit("REVISION").alias("rule")))
-        .unionByName(kept.select(*columns, "amount", F.lit("CLOSED").alias("rule")))
-        .unionByName(later.select(*columns, "amount", F.lit("KEPT").alias("rule")))
+
+    def one(version: Column, rc: Column, rule: Column | str, amount: Column, first: Column, last: Column, prd: Column) -> Column:
+        rule = F.lit(rule) if isinstance(rule, str) else rule
+        return F.struct(
+            version.cast("int").alias("version"), rc.alias("rc_id"), rule.alias("rule"), amount.cast("decimal(18,2)").alias("amount"),
+            first.alias("first"), last.alias("last"), prd.cast("int").alias("prd"),
+        )
+
+    begin, finish = cal.start_at(at), cal.end_at(at)
+    after = cal.start_at(at + 1)
+    rest = F.col("value") - F.col("scheduled") - F.col("_now")
+    version, rc = F.col("version"), F.col("rc_id")
+    jobs = F.array(
+        F.when(F.col("_in_run") & F.col("_held") & F.col("_rows").isNull(), one(F.lit(1), rc, "HELD", zero, begin, finish, opened)),
+        F.when(F.col("_live") & ~F.col("_revised"), one(version, rc, "INITIAL", F.col("value") - F.col("scheduled"), F.col("start_date"), F.col("end_date"), opened)),
+        F.when(F.col("_revised") & (F.col("_now") != 0), one(version, rc, "REVISION", F.col("_now"), begin, finish, opened)),
+        F.when(F.col("_revised") & (rest != 0), one(version, rc, "REVISION", rest, after, F.greatest("end_date", after), cal.id_at(at + 1))),
     )
+    kept = F.filter(rows, lambda r: ~F.col("_live") | (r["prd_id"] < opened))
+    # a stored row is a job whose only period is its own
+    own = F.transform(
+        kept,
+        lambda r: one(
+            r["version"], r["rc_id"], F.when(r["prd_id"] < opened, "CLOSED").otherwise("KEPT"), r["amount"],
+            cal.start_at(cal.place_of(r["prd_id"])), cal.end_at(cal.place_of(r["prd_id"])), r["prd_id"],
+        ),
+    )
+    each = state.select("line_id", F.explode(F.filter(F.concat(jobs, own), lambda j: j.isNotNull())).alias("j")).select("line_id", "j.*")
+    spread, _ = _spread(each, cal, F.col("prd"), _units(F.col("amount"), 2), "first", "last", F.col("rule").isin("HELD", "CLOSED", "KEPT"))
+    return spread.select("line_id", "rc_id", "version", cal.id_at(F.col("_p")).alias("prd_id"), _back(F.col("_units"), 2).alias("amount"), "rule")
 
 
 def waterfall_snapshot(

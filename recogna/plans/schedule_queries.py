@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recogna.functions.scalars import period_of
 from recogna.operators import schedules as S
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.session import cut
 from recogna.sources import model
-from recogna.sources.calendar import month_calendar
+from recogna.sources.fiscal import FiscalCalendar
 
 OPEN = model.OPEN_PRD
 
@@ -73,7 +76,7 @@ _RECOGNIZE = f"""per AS (
 run AS (SELECT *, sum(greatest((2 * days * total + span) // (2 * span), 1)) OVER (PARTITION BY line_id ORDER BY prd_id) AS cum FROM per),
 cap AS MATERIALIZED (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS done FROM run),
 inc AS (SELECT *, done - coalesce(lag(done) OVER (PARTITION BY line_id ORDER BY prd_id), 0) AS part FROM cap),
-rec AS (SELECT line_id, rc_id, greatest(prd_id, {OPEN}) AS prd_id, sum(part) AS units FROM inc GROUP BY ALL),
+rec AS MATERIALIZED (SELECT line_id, rc_id, greatest(prd_id, {OPEN}) AS prd_id, sum(part) AS units FROM inc GROUP BY ALL),
 sched AS (SELECT line_id, rc_id, prd_id, CAST(units / 100.0 AS DECIMAL(18,2)) AS amount FROM rec WHERE units <> 0)"""
 
 
@@ -83,7 +86,7 @@ def _sched_lines(spark, d, *more):
 
 def custom_schedules(spark, d, *more):
     """Straight-line schedules of all lines; the input of the order-on-hand and waterfall jobs."""
-    rec = S.recognize(_sched_lines(spark, d, *more), month_calendar(spark), OPEN, "alctd_xt_prc")
+    rec = S.recognize(_sched_lines(spark, d, *more), FiscalCalendar.months(), OPEN, "alctd_xt_prc")
     return rec.select("line_id", "rc_id", "prd_id", F.col("rel_amt").alias("amount"), *more)
 
 
@@ -104,7 +107,7 @@ FROM rec r LEFT JOIN cap y ON y.line_id = r.line_id AND y.prd_id = 199812 AND NO
 WHERE r.prd_id = {OPEN} AND r.units <> 0""", _RECOGNIZE),
 )
 def schedule_catch_up(spark, d):
-    rec = S.recognize(_sched_lines(spark, d), month_calendar(spark), OPEN, "alctd_xt_prc", splits=True)
+    rec = S.recognize(_sched_lines(spark, d), FiscalCalendar.months(), OPEN, "alctd_xt_prc", splits=True)
     return rec.where(F.col("prd_id") == OPEN).select("line_id", F.col("rel_amt").alias("amount"), "py_amt", "pq_amt", "pp_amt")
 
 
@@ -128,7 +131,7 @@ pall AS (SELECT line_id, {OPEN} AS prd_id, CAST(now_units / 100.0 AS DECIMAL(18,
 @query("prospective_revision", "RS5", "SC10", sql=duck("cal lines", "SELECT * FROM pall", _PROSPECTIVE))
 def prospective_revision(spark, d):
     ln = _sched_lines(spark, d).withColumn("scheduled", F.round(F.col("alctd_xt_prc") * F.lit("0.25").cast("decimal(3,2)"), 2).cast("decimal(18,2)"))
-    out = S.recognize_prospective(ln, month_calendar(spark), OPEN, "alctd_xt_prc", "scheduled")
+    out = S.recognize_prospective(ln, FiscalCalendar.months(), OPEN, "alctd_xt_prc", "scheduled")
     return out.select("line_id", "prd_id", F.col("rel_amt").alias("amount"), "part")
 
 
@@ -192,7 +195,6 @@ _HISTORY = """hist AS (SELECT line_id, rc_id, CAST(strftime(start_date, '%Y%m')
 
 
 def _history(ln):
-    from recogna.functions.scalars import period_of
     # a new line has no schedule yet
     return ln.where("sales_action <> 'NEW'").select(
         "line_id", "rc_id", period_of(F.col("start_date")).alias("prd_id"),
@@ -237,7 +239,7 @@ def schedule_run(spark, d):
     ln = _sched_lines(spark, d, "sales_action", "discount_pct")
     job = ln.select("line_id", "rc_id", F.col("alctd_xt_prc").alias("amount"), "start_date", "end_date", F.date_add("start_date", 60).alias("init_expiry"))
     suspended = ln.where(F.col("discount_pct") == 10).select("line_id")
-    out = S.generate_schedules(job, _history(ln), suspended, month_calendar(spark), OPEN)
+    out = S.generate_schedules(job, _history(ln), suspended, FiscalCalendar.months(), OPEN)
     return out.select("line_id", "version", "prd_id", "amount", "rule")
 
 
@@ -272,7 +274,7 @@ def _on_hand_inputs(spark, d):
 @query("order_on_hand", "RS10", "W11", sql=duck("cal schedules", "SELECT line_id, prd_id, amount FROM ooh", _RECOGNIZE, _OOH))
 def order_on_hand(spark, d):
     custom, actual, windows = _on_hand_inputs(spark, d)
-    return S.order_on_hand(custom, actual, windows, month_calendar(spark), OPEN)
+    return S.order_on_hand(custom, actual, windows, FiscalCalendar.months(), OPEN)
 
 
 SNAPSHOT_SQL = (_RECOGNIZE, _OOH, f"""active AS (SELECT line_id FROM schedules WHERE schd_type = 'R' AND prd_id = {OPEN} UNION SELECT line_id FROM sched WHERE prd_id = {OPEN}),
@@ -285,10 +287,107 @@ def snapshot(spark, d):
     custom, actual, windows = _on_hand_inputs(spark, d)
     # the job stores its schedules as a table; here three branches read them
     custom = cut(custom)
-    on_hand = S.order_on_hand(custom, actual, windows, month_calendar(spark), OPEN)
+    on_hand = S.order_on_hand(custom, actual, windows, FiscalCalendar.months(), OPEN)
     return S.waterfall_snapshot(actual, custom, on_hand, model.schedules(spark, d), OPEN)
 
 
 @query("waterfall_snapshot", "RS12", "J9", "SE1", sql=duck("cal schedules", "SELECT line_id, prd_id, amount, rev_type FROM snap", *SNAPSHOT_SQL))
 def waterfall_snapshot(spark, d):
     return snapshot(spark, d).select("line_id", "prd_id", "amount", "rev_type")
+
+
+# weeks of 4-4-5 a quarter; every fifth year has a 53rd week, in its last period
+FISCAL = FiscalCalendar.weeks(date(1994, 12, 26), 1995, 12, (4, 4, 5), (1999, 2004))
+FISCAL_OPEN = 199906
+
+_FISCAL_CAL = """fweeks(fy, first_day) AS (SELECT CAST(1995 + i AS INTEGER), DATE '1994-12-26' + CAST(364 * i + 7 * CASE WHEN i > 9 THEN 2 WHEN i > 4 THEN 1 ELSE 0 END AS INTEGER)
+  FROM range(12) t(i)),
+fcal AS (SELECT CAST(fy * 100 + n AS INTEGER) AS prd_id,
+  first_day + CAST(7 * (13 * ((n - 1) // 3) + 4 * ((n - 1) % 3)) AS INTEGER) AS start_date,
+  first_day + CAST(7 * (13 * ((n - 1) // 3) + 4 * ((n - 1) % 3) + CASE WHEN n % 3 = 0 THEN 5 ELSE 4 END + CASE WHEN n = 12 AND fy IN (1999, 2004) THEN 1 ELSE 0 END) - 1 AS INTEGER) AS end_date
+  FROM fweeks, range(1, 13) p(n))"""
+
+
+@query(
+    "fiscal_schedules", "RS3", "RS4",
+    sql=duck("lines", f"""SELECT r.line_id, r.prd_id, CAST(r.units / 100.0 AS DECIMAL(18,2)) AS amount,
+ CAST(CASE WHEN r.prd_id = {FISCAL_OPEN} THEN coalesce(y.done, 0) ELSE 0 END / 100.0 AS DECIMAL(18,2)) AS py_amt,
+ CAST(CASE WHEN r.prd_id <> {FISCAL_OPEN} OR q.done IS NULL THEN 0 ELSE q.done - coalesce(y.done, 0) END / 100.0 AS DECIMAL(18,2)) AS pq_amt,
+ CAST(CASE WHEN r.prd_id <> {FISCAL_OPEN} OR m.done IS NULL THEN 0 ELSE m.done - coalesce(q.done, y.done, 0) END / 100.0 AS DECIMAL(18,2)) AS pp_amt
+FROM frec r LEFT JOIN fcap y ON y.line_id = r.line_id AND y.prd_id = 199812 AND NOT y.is_last
+ LEFT JOIN fcap q ON q.line_id = r.line_id AND q.prd_id = 199903 AND NOT q.is_last
+ LEFT JOIN fcap m ON m.line_id = r.line_id AND m.prd_id = 199905 AND NOT m.is_last
+WHERE r.units <> 0""", _FISCAL_CAL, f"""fper AS (
+ SELECT l.line_id, c.prd_id, CAST(alctd_xt_prc * 100 AS BIGINT) AS total, date_diff('day', l.start_date, l.end_date) + 1 AS span,
+  c.end_date >= l.end_date AS is_last, date_diff('day', greatest(c.start_date, l.start_date), c.end_date) + 1 AS days
+ FROM lines l JOIN fcal c ON c.end_date >= l.start_date AND c.start_date <= l.end_date WHERE alctd_xt_prc <> 0),
+frun AS (SELECT *, sum(greatest((2 * days * total + span) // (2 * span), 1)) OVER (PARTITION BY line_id ORDER BY prd_id) AS cum FROM fper),
+fcap AS MATERIALIZED (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS done FROM frun),
+finc AS (SELECT *, done - coalesce(lag(done) OVER (PARTITION BY line_id ORDER BY prd_id), 0) AS part FROM fcap),
+frec AS MATERIALIZED (SELECT line_id, greatest(prd_id, {FISCAL_OPEN}) AS prd_id, sum(part) AS units FROM finc GROUP BY ALL)"""),
+)
+def fiscal_schedules(spark, d):
+    """Recognition over fiscal periods of four, five and six weeks, with the parts of earlier periods."""
+    rec = S.recognize(_sched_lines(spark, d), FISCAL, FISCAL_OPEN, "alctd_xt_prc", splits=True)
+    return rec.select("line_id", "prd_id", F.col("rel_amt").alias("amount"), "py_amt", "pq_amt", "pp_amt")
+
+
+_OPENS = """opens AS (SELECT CAST(r_regionkey AS INTEGER) AS org, CAST(strftime(add_on, '%Y%m') AS INTEGER) AS open_prd, add_on AS open_start, last_day(add_on) AS open_end,
+  CAST(add_on + INTERVAL 1 MONTH AS DATE) AS next_start
+ FROM (SELECT r_regionkey, CAST(DATE '1999-06-01' - to_months(CAST(r_regionkey % 3 AS INTEGER)) AS DATE) AS add_on FROM region WHERE r_regionkey < 4))"""
+
+
+def org_periods(spark, d):
+    """Periods by book and organisation: a region is an organisation, its open period one to three months back, the
+    one before is closed, and the last region has none open."""
+    region = model.table(spark, d, "region").select(F.lit(1).alias("book_id"), F.col("r_regionkey").alias("org"))
+    own = period_of(F.add_months(F.lit("1999-06-01").cast("date"), (-(F.col("org") % 3)).cast("int")))
+    before = period_of(F.add_months(F.lit("1999-05-01").cast("date"), (-(F.col("org") % 3)).cast("int")))
+    status = F.when(F.col("org") < 4, "OPEN").otherwise("CLOSED")
+    both = F.array(F.struct(own.alias("prd_id"), status.alias("status")), F.struct(before.alias("prd_id"), F.lit("CLOSED").alias("status")))
+    return region.select("book_id", "org", F.explode(both).alias("p")).select("book_id", "org", "p.*")
+
+
+@query(
+    "schedule_run_orgs", "RS8", "RS5", "RS4", "SNK8", "SRC3",
+    sql=duck("cal lines", """SELECT line_id, version, prd_id, amount, rule FROM (
+ SELECT line_id, 1 AS version, open_prd AS prd_id, CAST(0 AS DECIMAL(18,2)) AS amount, 'HELD' AS rule FROM state WHERE open_prd IS NOT NULL AND hold AND NOT has
+ UNION ALL SELECT line_id, version, prd_id, CAST(units / 100.0 AS DECIMAL(18,2)), 'INITIAL' FROM rrec WHERE units <> 0
+ UNION ALL SELECT line_id, version, open_prd, CAST(now_units / 100.0 AS DECIMAL(18,2)), 'REVISION' FROM qn WHERE now_units <> 0
+ UNION ALL SELECT line_id, version, prd_id, CAST(sg * units / 100.0 AS DECIMAL(18,2)), 'REVISION' FROM qinc WHERE units <> 0
+ UNION ALL SELECT h.line_id, h.version, h.prd_id, h.amount, CASE WHEN h.prd_id < s.open_prd THEN 'CLOSED' ELSE 'KEPT' END FROM hist h JOIN state s USING (line_id)
+  WHERE s.open_prd IS NULL OR s.hold OR h.prd_id < s.open_prd)""", _HISTORY, _OPENS, """
+state AS MATERIALIZED (SELECT l.line_id, l.start_date, l.end_date, open_prd, open_start, open_end, next_start, CAST(alctd_xt_prc * 100 AS BIGINT) AS v,
+  CAST(coalesce(CASE WHEN h.prd_id < open_prd THEN h.amount END, 0) * 100 AS BIGINT) AS past, coalesce(h.version, 0) + 1 AS version,
+  h.line_id IS NOT NULL AS has, discount_pct = 10 AS hold, l.start_date + 60 < open_end AS revised
+ FROM lines l LEFT JOIN opens USING (org) LEFT JOIN hist h ON h.line_id = l.line_id),
+rper AS (SELECT s.line_id, s.version, s.open_prd, c.prd_id, abs(v - past) AS total, sign(v - past) AS sg, date_diff('day', s.start_date, s.end_date) + 1 AS span,
+  c.end_date >= s.end_date AS is_last, date_diff('day', greatest(c.start_date, s.start_date), c.end_date) + 1 AS days
+ FROM state s JOIN cal c ON c.end_date >= s.start_date AND c.start_date <= s.end_date WHERE open_prd IS NOT NULL AND NOT hold AND NOT revised AND v <> past),
+rrun AS (SELECT *, sum(greatest((2 * days * total + span) // (2 * span), 1)) OVER (PARTITION BY line_id ORDER BY prd_id) AS cum FROM rper),
+rcap AS MATERIALIZED (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS done FROM rrun),
+rinc AS (SELECT *, done - coalesce(lag(done) OVER (PARTITION BY line_id ORDER BY prd_id), 0) AS part FROM rcap),
+rrec AS (SELECT line_id, version, greatest(prd_id, open_prd) AS prd_id, sum(sg * part) AS units FROM rinc GROUP BY ALL),
+qv AS (SELECT *, date_diff('day', start_date, end_date) + 1 AS span,
+  date_diff('day', start_date, CASE WHEN end_date <= open_start THEN end_date ELSE open_end END) + 1 AS used
+ FROM state WHERE open_prd IS NOT NULL AND NOT hold AND revised),
+qn AS MATERIALIZED (SELECT *, CAST(sign(v * used - past * span) AS BIGINT) * ((2 * abs(v * used - past * span) + span) // (2 * span)) AS now_units FROM qv),
+qr AS (SELECT *, v - past - now_units AS rest, greatest(end_date, next_start) AS to_day FROM qn),
+qper AS (SELECT p.line_id, p.version, c.prd_id, abs(rest) AS total, sign(rest) AS sg, date_diff('day', next_start, to_day) + 1 AS span,
+  c.end_date >= to_day AS is_last, date_diff('day', c.start_date, c.end_date) + 1 AS days
+ FROM qr p JOIN cal c ON c.start_date >= next_start AND c.start_date <= to_day WHERE rest <> 0),
+qrun AS (SELECT *, sum(greatest((2 * days * total + span) // (2 * span), 1)) OVER (PARTITION BY line_id ORDER BY prd_id) AS cum FROM qper),
+qcap AS MATERIALIZED (SELECT *, CASE WHEN is_last THEN total ELSE least(cum, total) END AS done FROM qrun),
+qinc AS (SELECT *, done - coalesce(lag(done) OVER (PARTITION BY line_id ORDER BY prd_id), 0) AS units FROM qcap)"""),
+)
+def schedule_run_orgs(spark, d):
+    """One run for the open periods of all books and organisations."""
+    ln = _sched_lines(spark, d, "org", "sales_action", "discount_pct")
+    job = ln.select(
+        "line_id", "rc_id", F.lit(1).alias("book_id"), "org", F.col("alctd_xt_prc").alias("amount"), "start_date", "end_date",
+        F.date_add("start_date", 60).alias("init_expiry"),
+    )
+    job = S.with_open_period(job, org_periods(spark, d))
+    suspended = ln.where(F.col("discount_pct") == 10).select("line_id")
+    out = S.generate_schedules(job, _history(ln), suspended, FiscalCalendar.months(), "open_prd")
+    return out.select("line_id", "version", "prd_id", "amount", "rule")
