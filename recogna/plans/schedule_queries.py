@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recogna.functions.scalars import period_of
 from recogna.operators import schedules as S
+from recogna.operators.run_state import RunState
+from recogna.plans.base_queries import _scratch
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.session import cut
@@ -179,14 +181,54 @@ def actual_schedules(spark, d):
     return S.actual_schedules(model.schedules(spark, d)).select("line_id", "seq", "prd_id", "amount")
 
 
+_RUNS = "last_run AS (SELECT max(CAST(o_orderdate AS DATE)) - 730 AS mark FROM orders)"
+
+
+def _completed_run(spark, d):
+    """A run log whose last completed run was requested two years before the last order; a later run failed."""
+    state = RunState(spark, _scratch(spark), "SUMMARISE")
+    last = model.table(spark, d, "orders").agg(F.to_date(F.max("o_orderdate")).alias("day")).first()["day"]
+    state.advance(state.processed(), datetime.combine(last - timedelta(days=730), time()))
+    state.advance(state.processed(), datetime.combine(last, time()), "E")
+    return state
+
+
 @query(
     "moved_lines", "RS9",
-    sql=duck("lines", """SELECT line_id, rc_id, rc_id - 1 AS schd_rc_id FROM lines WHERE return_flag <> 'R' AND line_num % 2 = 0 AND ship_date >= DATE '1999-01-01'"""),
+    sql=duck("lines", """SELECT line_id, rc_id, rc_id - 1 AS schd_rc_id FROM lines, last_run WHERE return_flag <> 'R' AND line_num % 2 = 0 AND ship_date >= mark""", _RUNS),
 )
 def moved_lines(spark, d):
-    ln = model.lines(spark, d, "line_id", "rc_id", "ship_date", "line_num", "return_flag")
-    sched = ln.where(F.col("return_flag") != "R").select("line_id", F.when(F.col("line_num") % 2 == 0, F.col("rc_id") - 1).otherwise(F.col("rc_id")).alias("rc_id"))
-    return S.invalidate_moved(ln, sched, F.col("ship_date") >= F.lit("1999-01-01").cast("date")).select("line_id", "rc_id", "schd_rc_id")
+    """Lines changed since the last completed run whose schedule has another contract; returned lines have no schedule."""
+    ln = model.lines(spark, d, "line_id", "rc_id", "ship_date", "line_num", "return_flag").join(F.broadcast(_completed_run(spark, d).mark()))
+    on_schedule = F.when(F.col("return_flag") == "R", None).when(F.col("line_num") % 2 == 0, F.col("rc_id") - 1).otherwise(F.col("rc_id"))
+    sched = ln.select("line_id", on_schedule.alias("rc_id"))
+    return S.invalidate_moved(ln, sched, F.col("ship_date") >= F.col("mark")).select("line_id", "rc_id", "schd_rc_id")
+
+
+_VALUE = "CASE WHEN discount_pct = 4 THEN NULL ELSE alctd_xt_prc END"
+
+
+@query(
+    "incremental_runs", "RS2", "RS9",
+    sql=duck("lines", f"""SELECT 1 AS run, line_id, rc_id, CAST({_VALUE} AS DECIMAL(18,2)) AS value, 'CHANGED' AS reason FROM lines WHERE discount_pct <> 4
+ UNION ALL SELECT 3, line_id, rc_id + CASE WHEN discount_pct IN (2, 3) THEN 1 ELSE 0 END, CAST(CASE WHEN discount_pct = 5 THEN NULL WHEN discount_pct IN (1, 4) THEN alctd_xt_prc + 1 ELSE alctd_xt_prc END AS DECIMAL(18,2)),
+  CASE discount_pct WHEN 2 THEN 'MOVED' ELSE 'CHANGED' END FROM lines WHERE discount_pct IN (1, 2, 4, 5)"""),
+)
+def incremental_runs(spark, d):
+    """Four runs over the same lines. The first processes all that have a value, the second finds nothing changed. Before
+    the third some values change, some lines move to another contract and some moved without a trace in their change
+    date; the fourth finds nothing again."""
+    base = model.lines(spark, d, "line_id", "rc_id", "alctd_xt_prc", "discount_pct")
+    p, long_ago = F.col("discount_pct"), F.lit("2019-12-31 10:00:00").cast("timestamp")
+    before = base.select("line_id", "rc_id", F.when(p != 4, F.col("alctd_xt_prc")).alias("value"), long_ago.alias("updated_at"))
+    value = F.when(p.isin(1, 4), F.col("alctd_xt_prc") + 1).when(p != 5, F.col("alctd_xt_prc")).cast("decimal(18,2)")
+    touched = F.when(p == 3, long_ago).otherwise(F.lit("2020-01-02 08:00:00").cast("timestamp"))
+    after = base.select("line_id", F.when(p.isin(2, 3), F.col("rc_id") + 1).otherwise(F.col("rc_id")).alias("rc_id"), value.alias("value"), touched.alias("updated_at"))
+    state, path = RunState(spark, _scratch(spark), "SCHEDULES"), _scratch(spark)
+    for run, lines in enumerate((before, before, after, after), 1):
+        state.due(lines).write.parquet(f"{path}/run={run}")
+        state.advance(spark.read.parquet(f"{path}/run={run}"), datetime(2020, 1, run))
+    return spark.read.parquet(path).select("run", "line_id", "rc_id", "value", "reason")
 
 
 _HISTORY = """hist AS (SELECT line_id, rc_id, CAST(strftime(start_date, '%Y%m') AS INTEGER) AS prd_id,
