@@ -25,7 +25,7 @@ _HELD = 800_000
 #: Bits of the map of open terms that every worker gets, 8 MB however many there are.
 _BITS = 1 << 26
 #: Cells (terms x sources) of the largest matrix a task makes, roughly.
-_CELLS = 1 << 20
+_CELLS = 1 << 17
 #: In UTF-8 every byte above 0x7F belongs to a character that is part of a term, so the same pattern cuts bytes.
 _TERM = re.compile(TERM.encode("latin-1"))
 
@@ -105,8 +105,9 @@ def exact_docs(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     table = dense.tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict[bytes, tuple]] = {}
+        known: dict[str, tuple[set, dict]] = {}  # by language: the chunks met, and the wanted terms of those that have any
         found: Counter = Counter()
+        size = 0
 
         def passed() -> pa.RecordBatch:
             keys = list(found)
@@ -114,19 +115,21 @@ def exact_docs(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang, value in zip(batch.column("lang").to_pylist(), batch.column("data"), strict=True):
-                memory = known.setdefault(lang, {})
-                here: set[bytes] = set()
+                met, wanted_of = known.setdefault(lang, (set(), {}))
+                chunks = set((value.as_py() or b"").split())
+                fresh = chunks - met
                 head = lang.encode() + b"\n"
-                for chunk in set((value.as_py() or b"").split()):
-                    some = memory.get(chunk)
-                    if some is None:
-                        marks = ((t, zlib.crc32(head + t) % _BITS) for t in _TERM.findall(chunk.lower()))
-                        some = memory[chunk] = tuple(t for t, at in marks if table[at >> 3] >> (at & 7) & 1)
+                for chunk in fresh:
+                    marks = ((t, zlib.crc32(head + t) % _BITS) for t in _TERM.findall(chunk.lower()))
+                    some = tuple(t for t, at in marks if table[at >> 3] >> (at & 7) & 1)
                     if some:
-                        here.update(some)
+                        wanted_of[chunk] = some
+                met |= fresh
+                size += len(fresh)
+                here = {t for chunk in chunks & wanted_of.keys() for t in wanted_of[chunk]}
                 found.update((lang, t) for t in here)
-            if sum(map(len, known.values())) > _HELD:
-                known = {}
+            if size > _HELD:
+                known, size = {}, 0
             if len(found) > _HELD:
                 yield passed()
                 found.clear()
