@@ -26,7 +26,7 @@ class RunState:
     """
 
     def __init__(self, spark: SparkSession, path: str, program: str) -> None:
-        self.spark, self.path, self.program = spark, path, program
+        self.spark, self.path, self.program = spark, f"{path}/{program}", program
 
     def log(self) -> DataFrame:
         rows = stored_or_none(self.spark, f"{self.path}/log", _LOG)

@@ -72,34 +72,35 @@ def _spread(rows: DataFrame, cal: FiscalCalendar, open_p: Column, value: Column,
     the value, as a function of a place.
     """
     base = rows.where(((value != 0) & (F.col(end) >= F.col(start))) | keep_zero)
-    base = base.withColumns({"_b": cal.place(F.col(start)), "_e": cal.place(F.col(end)), "_o": cal.place_of(open_p)})
-    base = base.where(cal.known(F.col(start), F.col("_b"), F.col(end), F.col("_e"), open_p, F.col("_o")))
-    # everything that depends on the line alone is computed before the rows multiply
+    # Steps of a few columns that are read more than once stay apart in the plan, and so do their generated methods:
+    # one method of more than 8,000 bytes would never be compiled.
+    base = base.withColumns({"_so": cal.off(F.col(start)), "_eo": cal.off(F.col(end)), "_total": F.abs(value), "_sign": F.signum(value.cast("double")).cast("int")})
     base = base.withColumns(
         {
-            "_total": F.abs(value),
-            "_sign": F.signum(value.cast("double")).cast("int"),
-            "_span": inclusive_days(F.col(start), F.col(end)).cast("bigint"),
-        }
-    ).withColumns(
-        {
-            "_first": _prorated(inclusive_days(F.col(start), cal.end_at(F.col("_b"))).cast("bigint"), F.col("_total"), F.col("_span")),
-            **{f"_full{n}": _prorated(F.lit(n).cast("bigint"), F.col("_total"), F.col("_span")) for n in cal.lengths},
-            **{f"_before{n}": cal.count_at(n, F.col("_b")) for n in cal.lengths},
+            **{name: cal.sure(cal.place_at(F.col(off)), F.col(off)) for name, off in (("_b", "_so"), ("_e", "_eo"))},
+            "_o": cal.sure(cal.place_of(open_p), open_p),
+            "_span": (F.col("_eo") - F.col("_so") + 1).cast("bigint"),
         }
     )
-    out = base.withColumn("_p", F.explode(F.sequence(F.greatest("_b", "_o"), F.greatest("_e", "_o"))))
+    # everything that depends on the line alone is computed before the rows multiply
+    base = base.withColumns({f"_full{n}": _prorated(F.lit(n).cast("bigint"), F.col("_total"), F.col("_span")) for n in cal.lengths})
+    began = _sum([cal.count_at(n, F.col("_b")) * F.col(f"_full{n}") for n in cal.lengths])
+    first = _prorated((cal.end_off_at(F.col("_b")) - F.col("_so") + 1).cast("bigint"), F.col("_total"), F.col("_span"))
+    base = base.withColumns({"_before": first - began, "_from": F.greatest("_b", "_o"), "_to": F.greatest("_e", "_o")})
+    out = base.withColumn("_p", F.explode(F.sequence("_from", "_to")))
 
     def running(at: Column) -> Column:
-        return F.col("_first") + _sum([(cal.count_at(n, at) - F.col(f"_before{n}")) * F.col(f"_full{n}") for n in cal.lengths])
+        return F.col("_before") + _sum([cal.count_at(n, at) * F.col(f"_full{n}") for n in cal.lengths])
 
     def capped(at: Column) -> Column:
         return F.least(running(at), F.col("_total"))
 
-    own = reduce(lambda acc, n: F.when(cal.days_at(F.col("_p")) == n, F.col(f"_full{n}")).otherwise(acc), cal.lengths[:-1], F.col(f"_full{cal.lengths[-1]}"))
-    done = F.when(F.col("_p") >= F.col("_e"), F.col("_total")).otherwise(capped(F.col("_p")))
-    before = F.when(F.col("_p") == F.greatest("_b", "_o"), F.lit(0).cast("bigint")).otherwise(F.least(running(F.col("_p")) - own, F.col("_total")))
-    return out.withColumn("_units", done - before).where((F.col("_units") > 0) | keep_zero), capped
+    own = reduce(lambda acc, n: F.when(F.col("_days") == n, F.col(f"_full{n}")).otherwise(acc), cal.lengths[:-1], F.col(f"_full{cal.lengths[-1]}"))
+    out = out.withColumns({"_days": cal.days_at(F.col("_p")), "_run": running(F.col("_p"))})
+    done = F.when(F.col("_p") >= F.col("_e"), F.col("_total")).otherwise(F.least("_run", "_total"))
+    before = F.when(F.col("_p") == F.col("_from"), F.lit(0).cast("bigint")).otherwise(F.least(F.col("_run") - own, F.col("_total")))
+    # generated, so that the filter on it doesn't repeat the expression
+    return out.withColumn("_units", F.explode(F.array(done - before))).where((F.col("_units") > 0) | keep_zero), capped
 
 
 def recognize(
@@ -176,7 +177,7 @@ def recognize_prospective(
     """
     cal = FiscalCalendar.of(calendar)
     value, past = F.col(amount), F.col(scheduled)
-    base = lines.withColumn("_at", cal.place_of(_period(open_prd))).where(cal.known(_period(open_prd), F.col("_at")))
+    base = lines.withColumn("_at", cal.sure(cal.place_of(_period(open_prd)), _period(open_prd)))
     base = base.withColumn("_now", _earned(cal, F.col("_at"), value, past, start, end)).withColumn(
         "_rest", (value - past - F.col("_now")).cast("decimal(18,2)")
     )
@@ -292,8 +293,7 @@ def order_on_hand(
     )
     zero = F.lit(0).cast("decimal(18,2)")
     bounds = windows.select("line_id", _period(open_prd).alias("_open"), F.col("first_date").alias("_fd"), F.col("last_date").alias("_ld"))
-    bounds = bounds.withColumns({"_first": cal.place(F.col("_fd")), "_last": cal.place(F.col("_ld"))})
-    bounds = bounds.where(cal.known(F.col("_fd"), F.col("_first"), F.col("_ld"), F.col("_last")))
+    bounds = bounds.withColumns({"_first": cal.sure(cal.place(F.col("_fd")), F.col("_fd")), "_last": cal.sure(cal.place(F.col("_ld")), F.col("_ld"))})
     from_prd, to_prd = cal.id_at(F.col("_first")), cal.id_at(F.col("_last"))
     bounds = bounds.select("line_id", "_open", "_first", "_last", from_prd.alias("_from"), to_prd.alias("_to"))
     earlier = F.map_filter(F.col("diffs"), lambda prd, _: prd.between(F.col("_from"), F.least(F.col("_to"), F.col("_open") - 1)))
@@ -353,8 +353,7 @@ def generate_schedules(
     job = lines.select(
         "line_id", F.col("rc_id").cast("long").alias("rc_id"), F.col("amount").cast("decimal(18,2)").alias("value"), "start_date", "end_date", "init_expiry", _period(open_prd).alias("open_prd")
     )
-    state = job.join(hold, "line_id", "left").join(past, "line_id", "full").withColumn("_at", cal.place_of(F.col("open_prd")))
-    state = state.where(cal.known(F.col("open_prd"), F.col("_at")))
+    state = job.join(hold, "line_id", "left").join(past, "line_id", "full").withColumn("_at", cal.sure(cal.place_of(F.col("open_prd")), F.col("open_prd")))
     opened, at, rows = F.col("open_prd"), F.col("_at"), F.coalesce("_rows", F.array())
     closed = F.filter(rows, lambda r: r["prd_id"] < opened)
     state = state.withColumns(

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from recogna.functions.scalars import period_list
+from recogna.functions.scalars import flag_at, period_list
 from recogna.operators import journal as J
 from recogna.operators import reports as R
-from recogna.operators import schedules as S
+from recogna.operators import waterfall as W
 from recogna.plans import journal_queries as jq
 from recogna.plans import schedule_queries as sq
+from recogna.plans.base_queries import _scratch
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.sources import model
-from recogna.sources.calendar import month_calendar, previous_periods, quarter_to_date
+from recogna.sources.calendar import month_calendar, quarter_to_date
+from recogna.sources.fiscal import FiscalCalendar
 
 OPEN = model.OPEN_PRD
 LAST = 200212
@@ -211,6 +215,30 @@ def revenue_insight(spark, d):
     return out.select("rc_id", "line_id", "cal_prd_id", "acct_name", "t_price", "cum_bill_amt", "t_cum_revenue_utd", "f_total_ending_balance", "treatment", "posted")
 
 
+MONTHS = FiscalCalendar.months()
+
+
+def one_period(spark, d):
+    """All organisations are enabled and have the same open period."""
+    org = model.table(spark, d, "region").select(F.col("r_regionkey").alias("org"), F.lit("Y").alias("enabled"))
+    return W.gate(org.select("org", F.lit(OPEN).alias("prd_id"), F.lit("OPEN").alias("status")), org)
+
+
+def _snapshot(spark, d):
+    windows = (F.col("start_date").alias("first_date"), F.col("end_date").alias("last_date"))
+    custom = sq.custom_schedules(spark, d, "org", "start_date", "end_date").select("line_id", "org", "prd_id", "amount", *windows)
+    counted = ((F.col("schd_type") == "R") & (flag_at(F.col("indicators"), 5) != "Y")) | ((F.col("schd_type") == "A") & (flag_at(F.col("indicators"), 6) != "Y"))
+    entries = model.schedules(spark, d).select("line_id", "prd_id", "amount", "schd_type", counted.alias("counted"))
+    return W.snapshot_rows(custom, entries, MONTHS, OPEN, OPEN)
+
+
+def _waterfall_inputs(spark, d, gate):
+    """The run period's snapshot, stored once and read back, the gate and the lines with their rates."""
+    store = W.SnapshotStore(spark, _scratch(spark))
+    store.take(_snapshot(spark, d), gate, OPEN, OPEN)
+    return store.read(OPEN, gate), gate, model.lines(spark, d, "line_id", "f_ex_rate", "g_ex_rate")
+
+
 _MONTHS = period_list(OPEN, LAST)
 
 
@@ -221,7 +249,8 @@ _MONTHS = period_list(OPEN, LAST)
  FROM snap JOIN lines USING (line_id) GROUP BY ALL""", *sq.SNAPSHOT_SQL),
 )
 def waterfall_monthly(spark, d):
-    return R.waterfall(sq.snapshot(spark, d), model.lines(spark, d, "line_id", "f_ex_rate", "g_ex_rate"), OPEN, LAST, "R")
+    out = W.monthly(*_waterfall_inputs(spark, d, one_period(spark, d)), MONTHS, OPEN, LAST, "R")
+    return out.drop("warning")
 
 
 _QUARTERS = R.quarter_columns(OPEN, 8)
@@ -235,18 +264,43 @@ _QUARTERS = R.quarter_columns(OPEN, 8)
  FROM (SELECT s.*, f_ex_rate, CASE WHEN s.prd_id < {OPEN} THEN 0 ELSE period_year * 10 + qtr_num END AS q FROM snap s JOIN cal USING (prd_id) JOIN (SELECT line_id, f_ex_rate FROM lines) USING (line_id)) GROUP BY ALL""", *sq.SNAPSHOT_SQL),
 )
 def waterfall_quarters(spark, d):
-    return R.waterfall_quarterly(sq.snapshot(spark, d), model.lines(spark, d, "line_id", "f_ex_rate", "g_ex_rate"), OPEN, LAST, OPEN, "F")
+    out = W.quarterly(*_waterfall_inputs(spark, d, one_period(spark, d)), MONTHS, OPEN, LAST, OPEN, "F")
+    return out.drop("warning")
 
 
 @query(
     "waterfall_orgs", "RP3",
-    sql=duck("", "SELECT CAST(n_regionkey AS INTEGER) AS org, 199906 AS prd_id FROM nation WHERE n_regionkey < 4 GROUP BY ALL"),
+    sql=duck("", f"""SELECT CAST(NULL AS INTEGER) AS org, CAST(NULL AS INTEGER) AS prd_id, concat('Org Name ''All'' is not supported', ' in Waterfall Report for Multiple Open Periods') AS reason, 'all' AS asked
+ UNION ALL SELECT org, open_prd, NULL, 'some' FROM opens WHERE org IN (0, 2)
+ UNION ALL SELECT org, {OPEN}, NULL, 'one period' FROM opens WHERE org <> 1""", sq._OPENS),
 )
 def waterfall_orgs(spark, d):
-    org = model.table(spark, d, "nation").select(F.col("n_regionkey").alias("org")).distinct()
-    periods = org.select("org", F.when(F.col("org") == 4, 199905).otherwise(OPEN).alias("prd_id"), F.lit("OPEN").alias("status"))
-    enabled = org.withColumn("enabled", F.when(F.col("org") < 4, "Y").otherwise("N"))
-    return R.resolve_orgs(periods, enabled)
+    """What the gate says of all organisations while their open periods differ, of two of them, and of all when they agree."""
+    periods = sq.org_periods(spark, d)
+    orgs = model.table(spark, d, "region").select(F.col("r_regionkey").alias("org"), F.when(F.col("r_regionkey") == 1, "N").otherwise("Y").alias("enabled"))
+    same = periods.withColumn("prd_id", F.lit(OPEN))
+    asked = (("all", W.gate(periods, orgs)), ("some", W.gate(periods, orgs, [0, 2])), ("one period", W.gate(same.where("status = 'OPEN'"), orgs)))
+    return reduce(lambda a, b: a.unionByName(b), [g.withColumn("asked", F.lit(name)) for name, g in asked])
+
+
+@query(
+    "waterfall_all_orgs", "RP3", "SNK3", "RP1",
+    sql=duck("cal schedules", f"""SELECT line_id, rev_type, CAST(coalesce(sum(amount) FILTER (prd_id < {OPEN}), 0) AS DECIMAL(28,2)) AS prior_amt,
+ CAST(coalesce(sum(amount) FILTER (prd_id = {OPEN}), 0) AS DECIMAL(28,4)) AS p{OPEN}, CAST(NULL AS VARCHAR) AS warning, asked
+ FROM snap JOIN (SELECT line_id, org FROM lines) USING (line_id) JOIN (VALUES (2, 'one'), (2, 'three'), (0, 'three'), (3, 'three')) a(org, asked) USING (org) GROUP BY ALL
+ UNION ALL SELECT NULL, NULL, NULL, NULL, concat('Org Name ''All'' is not supported', ' in Waterfall Report for Multiple Open Periods'), 'all'""", *sq.SNAPSHOT_SQL),
+)
+def waterfall_all_orgs(spark, d):
+    """One stored snapshot, three reports: one organisation, whose partition alone is read; three of them; and all,
+    refused because their open periods differ."""
+    periods = sq.org_periods(spark, d)
+    orgs = model.table(spark, d, "region").select(F.col("r_regionkey").alias("org"), F.lit("Y").alias("enabled"))
+    store = W.SnapshotStore(spark, _scratch(spark))
+    store.take(_snapshot(spark, d), W.gate(periods, orgs, range(5)), OPEN, OPEN)
+    rates = model.lines(spark, d, "line_id", "f_ex_rate", "g_ex_rate")
+    asked = (("one", W.gate(periods, orgs, [2])), ("three", W.gate(periods, orgs, [0, 2, 3])), ("all", W.gate(periods, orgs)))
+    reports = [W.monthly(store.read(OPEN, g), g, rates, MONTHS, OPEN, OPEN).withColumn("asked", F.lit(name)) for name, g in asked]
+    return reduce(lambda a, b: a.unionByName(b), reports)
 
 
 def _qtd_rows(spark, d):

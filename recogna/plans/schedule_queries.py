@@ -83,7 +83,7 @@ sched AS (SELECT line_id, rc_id, prd_id, CAST(units / 100.0 AS DECIMAL(18,2)) AS
 
 
 def _sched_lines(spark, d, *more):
-    return model.lines(spark, d, "rc_id", "line_id", "alctd_xt_prc", "start_date", "end_date", *more)
+    return model.lines(spark, d, *dict.fromkeys(("rc_id", "line_id", "alctd_xt_prc", "start_date", "end_date", *more)))
 
 
 def custom_schedules(spark, d, *more):

@@ -88,7 +88,7 @@ class FiscalCalendar:
         at = F.col("id").cast("int")
         return spark.range(0, len(self.periods), 1, 1).select(
             self.id_at(at).alias("prd_id"), self.start_at(at).alias("start_date"), self.end_at(at).alias("end_date"),
-            (self.id_at(at) / 100).cast("int").alias("period_year"), self._get(self._quarters, at).alias("qtr_num"),
+            (self.id_at(at) / 100).cast("int").alias("period_year"), self.quarter_at(at).alias("qtr_num"),
         )
 
     @staticmethod
@@ -162,12 +162,19 @@ class FiscalCalendar:
             out[days] = self._array(so_far)
         return out
 
+    def off(self, day: Column) -> Column:
+        """Days since the calendar's first."""
+        return F.datediff(day, F.lit(self.origin))
+
+    def place_at(self, off: Column) -> Column:
+        """The place of the period that holds the day ``off`` days after the first."""
+        inside = F.when((off >= 0) & (off <= self._off(self.periods[-1].end)), off)
+        first = self._get(self._first_of_bucket, F.call_function("div", inside, F.lit(self._bucket_days)).cast("int"))
+        return first + (off > self._get(self._ends, first)).cast("int")
+
     def place(self, day: Column) -> Column:
         """The place of the period that holds a date."""
-        off = F.datediff(day, F.lit(self.origin))
-        inside = F.when((off >= 0) & (off <= self._off(self.periods[-1].end)), off)
-        first = self._get(self._first_of_bucket, F.floor(inside / self._bucket_days).cast("int"))
-        return first + (inside > self._get(self._ends, first)).cast("int")
+        return self.place_at(self.off(day))
 
     def place_of(self, prd: Column) -> Column:
         """The place of a period id."""
@@ -181,12 +188,18 @@ class FiscalCalendar:
     def start_at(self, at: Column) -> Column:
         return F.date_add(F.lit(self.origin), self._get(self._starts, at))
 
+    def end_off_at(self, at: Column) -> Column:
+        return self._get(self._ends, at)
+
     def end_at(self, at: Column) -> Column:
-        return F.date_add(F.lit(self.origin), self._get(self._ends, at))
+        return F.date_add(F.lit(self.origin), self.end_off_at(at))
 
     def days_at(self, at: Column) -> Column:
         return self._get(self._days, at)
 
+    def quarter_at(self, at: Column) -> Column:
+        return self._get(self._quarters, at)
+
     def count_at(self, days: int, at: Column) -> Column:
         """Periods of ``days`` days up to and including the place."""
         return self._get(self._counts[days], at).cast("bigint")
@@ -219,14 +232,11 @@ class FiscalCalendar:
     def period_before(self, at: Column) -> Column:
         return F.when(at > 0, at - 1)
 
-    def known(self, *places: Column) -> Column:
-        """True, or the job fails because a date or a period that is not null lies beyond the calendar.
+    def sure(self, place: Column, asked: Column) -> Column:
+        """The place, or a failed job if what was ``asked`` for is not null and lies beyond the calendar.
 
-        A period that the calendar lacks would drop out of the schedules and its amount be lost. Takes pairs
-        of what was looked up and its place.
+        A period that the calendar lacks would drop out of the schedules and its amount be lost. The check is part
+        of the value and no filter, which would be computed a second time where the rows are read.
         """
-        beyond = F.lit(False)
-        for asked, found in zip(places[::2], places[1::2], strict=True):
-            beyond = beyond | (asked.isNotNull() & found.isNull())
-        text = f"dates outside the calendar, {self.origin} to {self.periods[-1].end}"
-        return F.when(beyond, F.raise_error(F.lit(text)).cast("boolean")).otherwise(True)
+        text = F.lit(f"dates outside the calendar, {self.origin} to {self.periods[-1].end}")
+        return F.coalesce(place, F.when(asked.isNotNull(), F.raise_error(text).cast("int")))
