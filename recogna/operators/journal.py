@@ -39,12 +39,15 @@ def ledger_balance(
     key: str = "line_id",
     unbilled: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Credit minus debit per key up to ``prd``, one column per set of account names.
+    """Credit minus debit per key of what is posted up to ``prd``, one column per set of account names.
 
-    ``unbilled`` sets count unbilled entries only; all columns come from one pass.
+    An entry counts from its posting period on, ``post_prd_id``, which may differ from the period it belongs to;
+    schedules without that column post in their own period. ``unbilled`` sets count unbilled entries only; all columns
+    come from one pass.
     """
     is_unbilled = flag_at(F.col("indicators"), 4) == "Y"
-    rows = schedules.where(F.col("prd_id") <= prd)
+    posted = F.coalesce("post_prd_id", "prd_id") if "post_prd_id" in schedules.columns else F.col("prd_id")
+    rows = schedules.where(posted <= prd)
     if not balances:
         rows = rows.where(is_unbilled)
     wanted = [(out, names, F.lit(True)) for out, names in balances.items()]
@@ -203,6 +206,12 @@ def reverse_journal(schedules: DataFrame, journal_id: int, prd: int) -> DataFram
     return kept.unionByName(twins)
 
 
+def mark_reversed(heads: DataFrame, journal_id: int) -> DataFrame:
+    """Heads after a reversal: the journal's status is R, the others keep theirs."""
+    status = F.when(F.col("header_id") == journal_id, "R").otherwise(F.col("status"))
+    return heads.withColumn("status", status)
+
+
 def purge_unapproved(heads: DataFrame, lines: DataFrame, prd: int, tag: str) -> tuple[DataFrame, DataFrame]:
     """Drop unapproved journals of a period with their lines."""
     gone = heads.where(

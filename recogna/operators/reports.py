@@ -42,71 +42,75 @@ def interval_periods(rows: DataFrame, calendar: DataFrame, valid_from: str, vali
     return rows.withColumn("_month", F.explode(months)).join(F.broadcast(cal), "_month").drop("_month")
 
 
-# gates: how a row of one period shows in a report period
+# Gates: how a row of one period shows in a report period. Measures are SQL text: several hundred of them, each
+# put together from Column objects, took longer to plan than to run.
 
 
-def in_period(value: Column, otherwise: Column | None = None) -> Column:
-    return F.when(F.col("cal_prd_id") == F.col("prd_id"), value).otherwise(F.lit(0) if otherwise is None else otherwise)
+def in_period(value: str, otherwise: str = "0") -> str:
+    return f"CASE WHEN cal_prd_id = prd_id THEN {value} ELSE {otherwise} END"
 
 
-def in_quarter(value: Column, otherwise: Column | None = None) -> Column:
-    return F.when(F.col("cal_qtr_end") == F.col("pd_qt_ed_dt"), value).otherwise(F.lit(0) if otherwise is None else otherwise)
+def in_quarter(value: str, otherwise: str = "0") -> str:
+    return f"CASE WHEN cal_qtr_end = pd_qt_ed_dt THEN {value} ELSE {otherwise} END"
 
 
-def in_year(value: Column, otherwise: Column | None = None) -> Column:
-    return F.when(F.col("cal_year_end") == F.col("pd_yr_ed_dt"), value).otherwise(F.lit(0) if otherwise is None else otherwise)
+def in_year(value: str, otherwise: str = "0") -> str:
+    return f"CASE WHEN cal_year_end = pd_yr_ed_dt THEN {value} ELSE {otherwise} END"
 
 
-def up_to_date(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
+def up_to_date(value: str) -> str:
+    return f"coalesce({value}, 0)"
+
+
+def as_is(value: str) -> str:
+    return value
 
 
 GATES = {"": in_period, "_qt": in_quarter, "_yt": in_year}
 
 
-def insight_measures(
-    wanted: Sequence[str] | None = None, currencies: Sequence[str] = CURRENCIES, amount_type: str = "decimal(18,2)"
-) -> dict[str, Column]:
-    """Every measure of the line-account report by output name.
+def _among(column: str, values: Sequence[str]) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+
+
+def insight_measures(wanted: Sequence[str] | None = None, currencies: Sequence[str] = CURRENCIES, amount_type: str = "decimal(18,2)") -> dict[str, str]:
+    """Every measure of the line-account report by output name, as SQL.
 
     A measure is an account test, a period gate and a base amount; families repeat over
     total, contractual and allocated classes, over period, quarter, year and cumulative
     amounts, and over the three currencies.
     """
-    cls, acct = F.col("def_rec_flag"), F.col("acct_type_id")
-    out: dict[str, Column] = {}
+    names = None if wanted is None else set(wanted)
+    out: dict[str, str] = {}
 
-    def put(name: str, test: Column, gate, base: str, other: str | None = None, sign: int = 1) -> None:
+    def put(name: str, test: str, gate, base: str, other: str | None = None, sign: str = "") -> None:
         """Register the measure for every currency that is asked for."""
         for c in currencies:
-            full = f"{c}_{name}"
-            if wanted is not None and full not in wanted:
-                continue
-            value = F.col(f"{c}_{base}")
-            value = gate(-value if sign < 0 else value, *([F.col(f"{c}_{other}")] if other else []))
-            out[full] = F.when(test, value).otherwise(0).cast(amount_type)
-
-    as_is = lambda v: v
-    for scope, test in (("tl_", cls.isin(*REVENUE)), ("", cls == "REC"), ("ar_", cls == "EREC")):
+            if names is None or f"{c}_{name}" in names:
+                value = gate(f"{sign}{c}_{base}", *([f"{c}_{other}"] if other else []))
+                out[f"{c}_{name}"] = f"CAST(CASE WHEN {test} THEN {value} ELSE 0 END AS {amount_type})"
+
+    revenue = _among("def_rec_flag", REVENUE)
+    for scope, test in (("tl_", revenue), ("", "def_rec_flag = 'REC'"), ("ar_", "def_rec_flag = 'EREC'")):
         tag = "ar" if scope == "ar_" else f"{scope}at"
         for suffix, gate in GATES.items():
             put(f"{scope}at{suffix}", test, gate, f"at{suffix}")
         put(f"{tag}_ps", test, in_period, "ps")
         put(f"{tag}_un", test, in_period, "un")
-    put("tl_at_ut", cls.isin(*REVENUE) & (acct != "S"), up_to_date, "at_ut")
-    put("rv_at_ut", cls == "REC", up_to_date, "at_ut")
-    put("ar_at_ut", cls == "EREC", up_to_date, "at_ut")
+    put("tl_at_ut", f"{revenue} AND acct_type_id <> 'S'", up_to_date, "at_ut")
+    put("rv_at_ut", "def_rec_flag = 'REC'", up_to_date, "at_ut")
+    put("ar_at_ut", "def_rec_flag = 'EREC'", up_to_date, "at_ut")
     for suffix, gate in GATES.items():
-        put(f"rt_ar{suffix}", cls.isin(*REVENUE), gate, f"rt_ar{suffix}")
-        put(f"rt{suffix}", cls == "REC", gate, f"rt_ar{suffix}")
-        put(f"ar_rt{suffix}", cls == "EREC", gate, f"rt_ar{suffix}")
-    for scope, test in (("tl_", cls.isin(*DEFERRED)), ("", cls == "DEF"), ("al_", cls == "EDEF")):
+        put(f"rt_ar{suffix}", revenue, gate, f"rt_ar{suffix}")
+        put(f"rt{suffix}", "def_rec_flag = 'REC'", gate, f"rt_ar{suffix}")
+        put(f"ar_rt{suffix}", "def_rec_flag = 'EREC'", gate, f"rt_ar{suffix}")
+    for scope, test in (("tl_", _among("def_rec_flag", DEFERRED)), ("", "def_rec_flag = 'DEF'"), ("al_", "def_rec_flag = 'EDEF'")):
         tag = "al" if scope == "al_" else f"{scope}rl"
         for suffix, gate in GATES.items():
             put(f"{scope}bb{suffix}", test, gate, f"bb{suffix}", other="eb")
             put(f"{scope}ad{suffix}", test, gate, f"ad{suffix}")
             put(f"{scope}rl{suffix}", test, gate, f"rl{suffix}")
-            put(f"{scope}ca_im{suffix}", test, gate, f"ca_im{suffix}", sign=-1)
+            put(f"{scope}ca_im{suffix}", test, gate, f"ca_im{suffix}", sign="-")
         put(f"{scope}eb", test, up_to_date, "eb")
         put(f"{tag}_ps", test, in_period, "ps")
         put(f"{tag}_un", test, in_period, "un")
@@ -114,17 +118,17 @@ def insight_measures(
         put(f"{scope}nt_rl", test, in_period, "nt_rl")
         for name in ("bb", "ad", "rl"):
             put(f"{scope}{name}_ut", test, up_to_date, f"{name}_ut")
-        put(f"{scope}ca_im_ut", test, up_to_date, "ca_im_ut", sign=-1)
-    unbilled = acct == "U"
+        put(f"{scope}ca_im_ut", test, up_to_date, "ca_im_ut", sign="-")
+    unbilled = "acct_type_id = 'U'"
     for suffix, gate in GATES.items():
         put(f"unbl_at{suffix}", unbilled, gate, f"at{suffix}")
     put("unbl_ps", unbilled, in_period, "ps")
     put("unbl_un", unbilled, in_period, "un")
     put("unbl_at_ut", unbilled, up_to_date, "at_ut")
-    put("unbl_utd", acct.isin("U", "Z"), up_to_date, "eb")
-    put("contra_rl_ut", acct == "T", up_to_date, "rl_ut")
-    variable = F.col("vc_flag") == "Y"
-    clears = variable & (F.col("vc_clr_flag") == "Y")
+    put("unbl_utd", _among("acct_type_id", ("U", "Z")), up_to_date, "eb")
+    put("contra_rl_ut", "acct_type_id = 'T'", up_to_date, "rl_ut")
+    variable = "vc_flag = 'Y'"
+    clears = f"{variable} AND vc_clr_flag = 'Y'"
     for suffix in GATES:
         for name in ("bb", "ad", "rl"):
             put(f"vc_{name}{suffix}", variable, as_is, f"{name}{suffix}")
@@ -133,7 +137,7 @@ def insight_measures(
     put("vc_un", variable, as_is, "un")
     put("vc_ps", variable, as_is, "ps")
     put("tl_vc_ut", variable, as_is, "at_ut")
-    billing = (cls == "DEF") & (F.col("incl_netting_flag") == "Y") & (F.col("payables_acct_flag") != "Y")
+    billing = "def_rec_flag = 'DEF' AND incl_netting_flag = 'Y' AND payables_acct_flag <> 'Y'"
     put("cum_bill_utd", billing, up_to_date, "ad_ut")
     out.pop("r_cum_bill_utd", None)  # cumulative billing exists in two currencies only
     return out
@@ -166,7 +170,7 @@ def line_account_summary(
         "cal_prd_id", "period_name", "rc_id", "line_id", "root_line_id", "acct_type_id", "acct_segs", "acct_name",
         F.coalesce("acct_group", F.lit("UNKNOWN")).alias("acct_group"), "pl_flag", "vc_flag", "cost_flag",
         "incl_netting_flag", "payables_acct_flag", "schd_type", "book_id",
-        *[v.alias(k) for k, v in keep.items()],
+        *[F.expr(v).alias(k) for k, v in keep.items()],
         *balances,
     )
 
@@ -183,7 +187,7 @@ def insight_totals(summary: DataFrame, calendar: DataFrame, groups: DataFrame) -
     summed = summary.groupBy(*keys).agg(*[F.sum(a).cast("decimal(28,2)").alias(a) for a in amounts])
     rows = interval_periods(summed, calendar, "valid_from", "valid_until").join(F.broadcast(groups), "acct_type_id")
     return rows.groupBy("cal_prd_id", "acct_type_id").agg(
-        *[F.sum(v).cast("decimal(28,2)").alias(k) for k, v in insight_measures(amount_type="decimal(28,2)").items()]
+        *[F.expr(f"CAST(sum({v}) AS decimal(28,2))").alias(k) for k, v in insight_measures(amount_type="decimal(28,2)").items()]
     )
 
 

@@ -70,6 +70,7 @@ ACCT = """acct(acct_type_id, acct_name, acct_group, def_rec_flag, pl_flag, vc_fl
 SCHEDULES = """schedules AS (
  SELECT l.*, l.line_id AS root_line_id, e.seq, e.schd_type, e.dr_acct, e.cr_acct,
   CAST(strftime(CASE WHEN e.seq = 3 THEN end_date ELSE start_date END, '%Y%m') AS INTEGER) AS prd_id,
+  CAST(strftime(CASE WHEN e.seq = 3 AND return_flag = 'R' THEN end_date + INTERVAL 1 MONTH WHEN e.seq = 3 THEN end_date ELSE start_date END, '%Y%m') AS INTEGER) AS post_prd_id,
   CAST(CASE e.seq WHEN 1 THEN CASE WHEN line_status = 'F' THEN ext_sll_prc ELSE 0 END
    WHEN 2 THEN round(alctd_xt_prc * CAST(0.6 AS DECIMAL(2,1)), 2) ELSE cv_amt END AS DECIMAL(18,2)) AS amount,
   CASE WHEN e.seq = 2 AND line_status = 'O' THEN 'Y' ELSE 'N' END AS unbilled_flag,
@@ -79,8 +80,8 @@ SCHEDULES = """schedules AS (
 
 # net credit minus debit of an entry, seen from the account on each side
 LEDGER = """ledger AS (
- SELECT rc_id, line_id, prd_id, dr_acct AS acct_type_id, unbilled_flag, -amount AS net FROM schedules
- UNION ALL SELECT rc_id, line_id, prd_id, cr_acct, unbilled_flag, amount FROM schedules)"""
+ SELECT rc_id, line_id, prd_id, post_prd_id, dr_acct AS acct_type_id, unbilled_flag, -amount AS net FROM schedules
+ UNION ALL SELECT rc_id, line_id, prd_id, post_prd_id, cr_acct, unbilled_flag, amount FROM schedules)"""
 
 PARTS = {
     "cal": (CAL, ()),

@@ -20,9 +20,9 @@ BALANCES = {
 
 _BAL = f"""bal AS (SELECT line_id, CAST(coalesce(sum(CASE WHEN acct_name IN ('Revenue','Adjustment Revenue') THEN net END), 0) AS DECIMAL(18,2)) AS revenue,
  CAST(coalesce(sum(CASE WHEN acct_name IN ('Contract Liability','Adjustment Liability') THEN net END), 0) AS DECIMAL(18,2)) AS liability
- FROM ledger JOIN acct USING (acct_type_id) WHERE prd_id <= {OPEN} GROUP BY line_id),
+ FROM ledger JOIN acct USING (acct_type_id) WHERE post_prd_id <= {OPEN} GROUP BY line_id),
 ub AS (SELECT line_id, CAST(coalesce(sum(CASE WHEN acct_name = 'Revenue' THEN net END), 0) AS DECIMAL(18,2)) AS unbilled
- FROM ledger JOIN acct USING (acct_type_id) WHERE prd_id <= {OPEN} AND unbilled_flag = 'Y' GROUP BY line_id)"""
+ FROM ledger JOIN acct USING (acct_type_id) WHERE post_prd_id <= {OPEN} AND unbilled_flag = 'Y' GROUP BY line_id)"""
 
 
 UNBILLED = {"unbilled": ("Revenue",)}
@@ -143,6 +143,17 @@ def journal_reversal(spark, d):
     return out.select("line_id", "seq", "prd_id", F.col("amount").cast("decimal(18,2)").alias("amount"), "is_reversal")
 
 
+@query(
+    "journal_reversal_heads", "JE8",
+    sql=duck("contracts", """SELECT rc_id AS header_id, CASE WHEN rc_id = (SELECT min(rc_id) FROM contracts WHERE posted = 'Y') THEN 'R' WHEN posted = 'Y' THEN 'A' ELSE 'N' END AS status FROM contracts"""),
+)
+def journal_reversal_heads(spark, d):
+    """Journal heads after the first approved one is taken back."""
+    heads = model.contracts(spark, d).select(F.col("rc_id").alias("header_id"), F.when(F.col("posted") == "Y", "A").otherwise("N").alias("status"))
+    first = heads.where("status = 'A'").agg(F.min("header_id").alias("header_id")).first()["header_id"]
+    return J.mark_reversed(heads, first)
+
+
 @query(
     "reversal_period", "JE10",
     sql=duck("cal schedules", """SELECT s.prd_id, (SELECT min(c.prd_id) FROM cal c WHERE c.prd_id > s.prd_id) AS reversal_prd_id, s.amount

@@ -110,6 +110,7 @@ LINE_COLUMNS = (
     "t_tl_at", "t_at_qt", "t_ar_at_yt", "t_tl_at_ut", "t_tl_bb", "t_bb_qt", "t_al_bb_yt", "t_tl_eb", "t_rl_ps", "t_nt", "t_tl_nt_rl", "t_al_ca_im",
     "t_unbl_at", "t_unbl_utd", "t_contra_rl_ut", "t_vc_bb", "t_vc_clm_qt", "t_rt_ar", "t_ar_rt_qt", "t_cum_bill_utd", "f_tl_at", "r_tl_bb_qt",
 )
+BALANCES = ("lt_t_bal", "lt_f_bal", "lt_r_bal")
 
 
 def _insight_inputs(spark, d):
@@ -117,21 +118,32 @@ def _insight_inputs(spark, d):
 
 
 def _latest(spark, d):
-    src = model.account_summary_rows(spark, d).where("line_id LIKE '%5'")
+    src = model.account_summary_rows(spark, d)
     return src.select(
         "root_line_id", "acct_type_id", "acct_segs", F.col("prd_id").alias("cal_prd_id"),
         F.col("t_eb").alias("lt_t_bal"), F.col("f_eb").alias("lt_f_bal"), F.col("r_eb").alias("lt_r_bal"),
     )
 
 
-@query(
-    "line_account_summary", "RP7", "RP8", "J3", "J4", "SRC2",
-    sql=duck("cal lines acct", f"""SELECT per.cal_prd_id, per.line_id, per.acct_type_id, acct_group, schd_type, {', '.join(f'{_MEASURES[m]} AS {m}' for m in LINE_COLUMNS)},
- CAST(CASE WHEN line_id LIKE '%5' AND cal_prd_id = prd_id AND schd_type <> 'D' THEN t_eb ELSE 0 END AS DECIMAL(18,2)) AS lt_t_bal FROM per""", _SUMMARY),
-)
+def _line_sql(measures) -> str:
+    latest = ", ".join(f"CAST(CASE WHEN cal_prd_id = prd_id AND schd_type <> 'D' THEN {c}_eb ELSE 0 END AS DECIMAL(18,2)) AS lt_{c}_bal" for c in "tfr")
+    return f"SELECT per.cal_prd_id, per.line_id, per.acct_type_id, acct_group, schd_type, {', '.join(f'{_MEASURES[m]} AS {m}' for m in measures)}, {latest} FROM per"
+
+
+def _line_summary(spark, d, measures):
+    out = R.line_account_summary(*_insight_inputs(spark, d), latest=_latest(spark, d), measures=measures)
+    return out.select("cal_prd_id", "line_id", "acct_type_id", "acct_group", "schd_type", *measures, *BALANCES)
+
+
+@query("line_account_summary", "RP7", "RP8", "J3", "J4", "SRC2", sql=duck("cal lines acct", _line_sql(LINE_COLUMNS), _SUMMARY))
 def line_account_summary(spark, d):
-    out = R.line_account_summary(*_insight_inputs(spark, d), latest=_latest(spark, d), measures=LINE_COLUMNS)
-    return out.select("cal_prd_id", "line_id", "acct_type_id", "acct_group", "schd_type", *LINE_COLUMNS, "lt_t_bal")
+    return _line_summary(spark, d, LINE_COLUMNS)
+
+
+@query("line_account_measures", "RP7", "RP8", "J3", sql=duck("cal lines acct", _line_sql(_MEASURES), _SUMMARY))
+def line_account_measures(spark, d):
+    """All measures of the report and its three latest balances."""
+    return _line_summary(spark, d, tuple(_MEASURES))
 
 
 @query(
@@ -364,7 +376,7 @@ _UNBILLED = f"""ubl AS (SELECT *, bld_def_amt + bld_rec_amt AS billed,
   CAST(CASE WHEN bld_def_amt + bld_rec_amt = 0 THEN 0 ELSE round(CAST((bld_def_amt + bld_rec_amt)::DOUBLE / alctbl_xt_prc::DOUBLE * 100 AS DECIMAL(28,8)), 2) END AS DECIMAL(18,2)) AS bld_pct FROM lines),
 ubc AS (SELECT rc_id, CAST(sum(bld_pct * cv_amt * CAST(0.01 AS DECIMAL(3,2))) FILTER (cv_amt < 0) AS DECIMAL(28,6)) AS tb, sum(cv_amt) FILTER (cv_amt < 0) AS tc
   FROM ubl GROUP BY rc_id HAVING sum(alctbl_xt_prc) <> sum(billed) AND sum(cv_amt) FILTER (cv_amt < 0) IS NOT NULL),
-uba AS (SELECT line_id, sum(net) FILTER (acct_name = 'Revenue') AS rev, sum(net) FILTER (acct_name = 'Adjustment Revenue') AS adj FROM ledger JOIN acct USING (acct_type_id) WHERE prd_id <= {OPEN} GROUP BY line_id),
+uba AS (SELECT line_id, sum(net) FILTER (acct_name = 'Revenue') AS rev, sum(net) FILTER (acct_name = 'Adjustment Revenue') AS adj FROM ledger JOIN acct USING (acct_type_id) WHERE post_prd_id <= {OPEN} GROUP BY line_id),
 ubr AS (SELECT u.rc_id, u.line_id, CAST(billed AS DECIMAL(28,2)) AS billed, CAST(cv_amt AS DECIMAL(28,2)) AS cv_amt, bld_pct,
   CAST(round(CAST(CASE WHEN cv_amt < 0 THEN (bld_pct * cv_amt * CAST(0.01 AS DECIMAL(3,2)))::DOUBLE WHEN cv_amt > 0 THEN cv_amt::DOUBLE / tc::DOUBLE * tb::DOUBLE ELSE 0 END AS DECIMAL(28,8)), 4) AS DECIMAL(28,4)) AS billed_cv,
   CAST(coalesce(rev, 0) AS DECIMAL(28,2)) AS revenue, CAST(coalesce(adj, 0) AS DECIMAL(28,2)) AS adj_revenue

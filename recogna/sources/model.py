@@ -166,6 +166,7 @@ def account_types(spark: SparkSession) -> DataFrame:
 def schedules(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Accounting entries of a line: billing, revenue at start and adjustment at end.
 
+    Adjustments of returned lines are posted a month after their period, the others in it.
     ``indicators`` positions: 1 interfaced, 2 debit type, 3 credit type, 4 unbilled,
     5 initial entry, 10 schedule type.
     """
@@ -177,10 +178,11 @@ def schedules(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     unbilled = F.when(F.col("line_status") == "O", "Y").otherwise("N")
     initial = F.when(F.col("line_num") == 1, "Y").otherwise("N")
 
-    def entry(no, prd, amount, kind, dr, cr, unbilled_flag, initial_flag):
+    def entry(no, prd, amount, kind, dr, cr, unbilled_flag, initial_flag, post=None):
         return F.struct(
             F.lit(no).alias("seq"),
             prd.alias("prd_id"),
+            (prd if post is None else post).alias("post_prd_id"),
             amount.cast("decimal(18,2)").alias("amount"),
             F.lit(dr).alias("dr_acct"),
             F.lit(cr).alias("cr_acct"),
@@ -192,7 +194,7 @@ def schedules(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     entries = F.array(
         entry(1, first, F.when(F.col("line_status") == "F", F.col("ext_sll_prc")).otherwise(0), "B", "B", "L", F.lit("N"), F.lit("N")),
         entry(2, first, F.round(F.col("alctd_xt_prc") * share, 2), "R", "L", "R", unbilled, initial),
-        entry(3, last, F.col("cv_amt"), "A", "A", "X", F.lit("N"), F.lit("N")),
+        entry(3, last, F.col("cv_amt"), "A", "A", "X", F.lit("N"), F.lit("N"), F.when(F.col("return_flag") == "R", period_of(F.add_months("end_date", 1))).otherwise(last)),
     )
     return src.withColumn("e", F.explode(entries)).select(
         "rc_id", "line_id", F.col("line_id").alias("root_line_id"), "e.*", *extra
@@ -211,6 +213,8 @@ SUMMARY_AMOUNTS = (
 def account_summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account-period summary: one account type per line, valid for one to three periods."""
     src = lines(spark, sf_dir, "rc_id", "line_id", "line_num", "supp_key", "start_date", "ext_sll_prc", "f_ex_rate", "g_ex_rate", "discount_pct")
+    # narrow rows are dealt by line before each becomes ninety amounts; sums by line then stay where they are
+    src = src.repartition("line_id")
     kinds = F.array(*[F.lit(k) for k in ("R", "X", "L", "A", "U", "T", "B")])
     price, f, g = F.col("ext_sll_prc"), F.col("f_ex_rate"), F.col("g_ex_rate")
     amounts = []
