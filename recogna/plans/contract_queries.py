@@ -79,8 +79,8 @@ def stage_validation(spark, d):
 
 def _revision_inputs(spark, d):
     ln = model.lines(spark, d, "line_id", "rc_id", "line_num", "contract_num", "sales_action", "return_flag", "mod_doc")
-    stage = ln.where("return_flag <> 'R'").select(
-        "line_id", "rc_id", F.when(F.col("return_flag") == "A", "SO").otherwise("INV").alias("type"), F.col("line_id").alias("so_line_id"),
+    stage = ln.select(
+        "line_id", "rc_id", F.when(F.col("return_flag") == "A", "SO").when(F.col("return_flag") == "R", "CM").otherwise("INV").alias("type"), F.col("line_id").alias("so_line_id"),
         F.when(F.col("contract_num") % 7 != 0, F.col("contract_num")).alias("contract_num"), "sales_action", F.col("mod_doc").alias("so_num"),
         F.when(F.col("line_num") == 2, "Y").otherwise("N").alias("mod_flag"),
     )
@@ -88,8 +88,8 @@ def _revision_inputs(spark, d):
     return stage, known
 
 
-_REV = """rst AS (SELECT line_id, rc_id, CASE WHEN return_flag = 'A' THEN 'SO' ELSE 'INV' END AS type, CASE WHEN contract_num % 7 <> 0 THEN contract_num END AS cn, sales_action, mod_doc,
-  CASE WHEN line_num = 2 THEN 'Y' ELSE 'N' END AS flag FROM lines WHERE return_flag <> 'R'),
+_REV = """rst AS (SELECT line_id, rc_id, CASE return_flag WHEN 'A' THEN 'SO' WHEN 'R' THEN 'CM' ELSE 'INV' END AS type, CASE WHEN contract_num % 7 <> 0 THEN contract_num END AS cn, sales_action, mod_doc,
+  CASE WHEN line_num = 2 THEN 'Y' ELSE 'N' END AS flag FROM lines),
 kn AS (SELECT contract_num, line_id FROM lines WHERE line_num <= 2 AND contract_num % 3 = 0)"""
 
 
