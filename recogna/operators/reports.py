@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recogna.functions.scalars import convert, decode, non_zero, period_list, shift_period
 from recogna.functions.skew import attach
+from recogna.sources.fiscal import FiscalCalendar
 
 CURRENCIES = ("t", "f", "r")
 
@@ -370,22 +371,28 @@ def waterfall_qtd(
     max_months: int,
     kind: str,
     mode: str = "A",
+    amount: str = "amount",
+    calendar: FiscalCalendar | None = None,
+    total_label: str | None = None,
 ) -> DataFrame:
     """Quarter-to-date waterfall per line.
 
-    ``rows``: root_line_id, rc_id, prd_id, acct_type_id, amount, src ('A' actual, 'F'
-    forecast).  Columns: prior amount (everything up to the run period less the run period
+    ``rows``: root_line_id, rc_id, prd_id, acct_type_id, ``amount`` (the column of the report's currency), src ('A'
+    actual, 'F' forecast).  Columns: prior amount (everything up to the run period less the run period
     and the listed prior months), the listed prior months, the quarter to date, months then
     years, and the total.  ``mode``: actual (A), forecast (F, without prior amount) or both
-    (AF).
+    (AF). Quarters and prior periods are the calendar's. With ``total_label`` a row of that name sums all lines up; the
+    same pass makes it, as a grouping set without keys.
     """
-    months = [shift_period(run_prd, -i) for i in range(n_prior, 0, -1)]
-    quarter_first = run_prd // 100 * 100 + (run_prd % 100 - 1) // 3 * 3 + 1
+    periods = (calendar or FiscalCalendar.months()).periods
+    at = next(i for i, p in enumerate(periods) if p.id == run_prd)
+    months = [p.id for p in periods[max(0, at - n_prior) : at]]
+    quarter_first = next(p.id for p in periods if (p.year, p.quarter) == (periods[at].year, periods[at].quarter))
     src = {"A": ("A",), "F": ("F",), "AF": ("A", "F")}[mode]
     actual, prd = F.col("src") == "A", F.col("prd_id")
     scoped = rows.where(F.col("acct_type_id").isin(*account_set(kind)) & (actual | F.col("src").isin(*src)))
     shown = F.col("src").isin(*src)
-    total = lambda test: F.coalesce(F.sum(F.when(test, F.col("amount"))), F.lit(0)).cast("decimal(28,2)")
+    total = lambda test: F.coalesce(F.sum(F.when(test, F.col(amount))), F.lit(0)).cast("decimal(28,2)")
     listed = actual & prd.between(months[0], months[-1]) if months else F.lit(False)
     columns = {}
     if mode != "F":
@@ -394,7 +401,13 @@ def waterfall_qtd(
     columns["qtd_amount"] = total(actual & prd.between(quarter_first, run_prd))
     columns |= {c.label: total(shown & prd.between(c.first, c.last)) for c in month_then_year_columns(run_prd, end_prd, max_months)}
     columns["total"] = total((shown & prd.between(run_prd, end_prd)) | listed)
-    return scoped.groupBy("root_line_id", "rc_id").agg(*[v.alias(k) for k, v in columns.items()])
+    sums = [v.alias(k) for k, v in columns.items()]
+    if total_label is None:
+        return scoped.groupBy("root_line_id", "rc_id").agg(*sums)
+    keys = [F.col("root_line_id"), F.col("rc_id")]
+    both = scoped.groupingSets([keys, []], *keys).agg(F.grouping_id().alias("_level"), *sums)
+    label = F.when(F.col("_level") == 0, F.col("root_line_id")).otherwise(F.lit(total_label))
+    return both.withColumn("root_line_id", label).drop("_level")
 
 
 def prior_period_pivot(rows: DataFrame, run_prd: int, n: int, keys: Sequence[str]) -> DataFrame:
@@ -530,12 +543,20 @@ def format_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
 
 
 def run_report(df: DataFrame, spec: ReportSpec, filters: Sequence[ReportFilter] = ()) -> DataFrame:
-    """Filter, order, limit and select the columns of a layout."""
+    """Filter, order, limit and select the columns of a layout.
+
+    With totals, a row follows that sums those columns over all rows of the filter, also those beyond the limit;
+    ``is_total`` marks it. Where no row is found there is no total either.
+    """
     rows = filter_report(df, spec, filters).select(*[f.name for f in spec.fields])
     order = order_columns(spec)
-    if order:
-        rows = rows.orderBy(*order)
-    return rows.limit(spec.row_limit) if spec.row_limit else rows
+    page = rows.orderBy(*order) if order else rows
+    page = page.limit(spec.row_limit) if spec.row_limit else page
+    if not spec.totals:
+        return page
+    sums = [(F.sum(f.name).cast(rows.schema[f.name].dataType) if f.name in spec.totals else F.lit(None).cast(rows.schema[f.name].dataType)).alias(f.name) for f in spec.fields]
+    total = rows.agg(F.count("*").alias("_n"), *sums).where("_n > 0").drop("_n")
+    return page.withColumn("is_total", F.lit(False)).unionByName(total.withColumn("is_total", F.lit(True)))
 
 
 def journal_report(heads: DataFrame, lines: DataFrame, spec: ReportSpec, filters: Sequence[ReportFilter]) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
 
-from recogna.functions.scalars import flag_at, period_list
+from recogna.functions.scalars import convert, flag_at, period_list
 from recogna.operators import journal as J
 from recogna.operators import reports as R
 from recogna.operators import waterfall as W
@@ -16,7 +17,7 @@ from recogna.plans.base_queries import _scratch
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.sources import model
-from recogna.sources.calendar import month_calendar, quarter_to_date
+from recogna.sources.calendar import month_calendar
 from recogna.sources.fiscal import FiscalCalendar
 
 OPEN = model.OPEN_PRD
@@ -356,8 +357,47 @@ def waterfall_with_forecast(spark, d):
  sq._RECOGNIZE, _QTD, f"w AS ({_qtd_sql(chr(39) + 'X' + chr(39), ('A',))})"),
 )
 def waterfall_grand_total(spark, d):
-    rows = R.waterfall_qtd(_qtd_rows(spark, d).where("src = 'A'"), OPEN, LAST, 3, 6, "Adjustments")
-    return R.with_grand_total(rows.select("root_line_id", "prior_amount", "qtd_amount", "total"), ["root_line_id"])
+    rows = R.waterfall_qtd(_qtd_rows(spark, d).where("src = 'A'"), OPEN, LAST, 3, 6, "Adjustments", total_label="TOTAL")
+    return rows.select("root_line_id", "prior_amount", "qtd_amount", "total")
+
+
+_SOURCES = f"""qc AS (SELECT qr.*, f_ex_rate AS fx, g_ex_rate AS gx FROM qr JOIN (SELECT line_id, f_ex_rate, g_ex_rate FROM lines) l ON l.line_id = qr.root_line_id),
+src AS (SELECT 'T closed' AS asked, *, amount AS v FROM qc WHERE src = 'A' AND prd_id < {OPEN}
+ UNION ALL SELECT 'F open', *, CAST(amount * fx AS DECIMAL(28,6)) FROM qc WHERE src = 'A'
+ UNION ALL SELECT 'R forecast', *, CAST(amount * gx * fx AS DECIMAL(28,6)) FROM qc WHERE src = 'F'
+ UNION ALL SELECT 'F both, closed', *, CAST(amount * fx AS DECIMAL(28,6)) FROM qc WHERE prd_id < {OPEN}
+ UNION ALL SELECT 'T not frozen', *, amount FROM qc WHERE src = 'A')"""
+
+
+@query(
+    "waterfall_sources", "RP4",
+    sql=duck("cal ledger", f"""SELECT asked, root_line_id, rc_id, CAST(coalesce(sum(v) FILTER (src = 'A' AND prd_id BETWEEN 199904 AND CASE asked WHEN 'T not frozen' THEN 199904 WHEN 'F open' THEN {OPEN} WHEN 'R forecast' THEN {OPEN} ELSE 199905 END), 0) AS DECIMAL(28,2)) AS qtd_amount,
+ CAST(coalesce(sum(v) FILTER (prd_id BETWEEN CASE asked WHEN 'T not frozen' THEN 199904 WHEN 'F open' THEN {OPEN} WHEN 'R forecast' THEN {OPEN} ELSE 199905 END AND {LAST}
+   OR src = 'A' AND prd_id BETWEEN CASE asked WHEN 'T not frozen' THEN 199902 WHEN 'F open' THEN 199904 WHEN 'R forecast' THEN 199904 ELSE 199903 END AND CASE asked WHEN 'T not frozen' THEN 199903 WHEN 'F open' THEN 199905 WHEN 'R forecast' THEN 199905 ELSE 199904 END), 0) AS DECIMAL(28,2)) AS total
+ FROM src WHERE acct_type_id IN ('R', 'Y') GROUP BY ALL""", sq._RECOGNIZE, _QTD, _SOURCES),
+)
+def waterfall_sources(spark, d):
+    """Reports of a closed period from what was frozen at its end, of the open one and of a closed one that nothing was
+    frozen for from live rows; in the three currencies, of actual amounts, forecasts and both."""
+    rates = model.lines(spark, d, "line_id", "f_ex_rate", "g_ex_rate").withColumnRenamed("line_id", "root_line_id")
+    money = lambda c: c.cast("decimal(28,6)")
+    amount, f, g = F.col("amount"), F.col("f_ex_rate"), F.col("g_ex_rate")
+    live = _qtd_rows(spark, d).join(rates, "root_line_id").select(
+        "root_line_id", "rc_id", "prd_id", "acct_type_id", "src", *[money(convert(amount, f, g, c)).alias(f"{c.lower()}_at") for c in "TFR"]
+    )
+    # at the end of May only what was posted until then was there
+    frozen = live.where(F.col("prd_id") < OPEN).withColumn("run_prd", F.lit(199905))
+    run_log = spark.createDataFrame(
+        [("WF_PERIOD_END", "COMPLETED", 199905), ("WF_PERIOD_END", "COMPLETED", 199904), ("WF_PERIOD_END", "FAILED", OPEN), ("OTHER", "COMPLETED", OPEN)],
+        "process string, status string, run_prd int",
+    )
+    asked = (("T closed", 199905, "t_at", "A"), ("F open", OPEN, "f_at", "A"), ("R forecast", OPEN, "r_at", "F"), ("F both, closed", 199905, "f_at", "AF"), ("T not frozen", 199904, "t_at", "A"))
+    reports = []
+    for name, run, column, mode in asked:
+        rows = W.of_period(live, frozen, run_log, run).where(F.col("src").isin(*mode))
+        report = R.waterfall_qtd(rows, run, LAST, 2, 6, "Revenue", mode=mode, amount=column, calendar=MONTHS)
+        reports.append(report.select(F.lit(name).alias("asked"), "root_line_id", "rc_id", "qtd_amount", "total"))
+    return reduce(lambda a, b: a.unionByName(b), reports)
 
 
 @query(
@@ -366,10 +406,11 @@ def waterfall_grand_total(spark, d):
  FROM cal o WHERE o.prd_id IN (SELECT CAST(strftime(max(o_orderdate) - INTERVAL 2 YEAR, '%Y%m') AS INTEGER) FROM orders)"""),
 )
 def quarter_to_date_bounds(spark, d):
-    # the run period is two years before the last order; a single row, read before the bounds are planned
-    last = model.table(spark, d, "orders").agg(F.max("o_orderdate").alias("m")).select(F.add_months("m", -24).alias("m"))
-    run = last.select((F.year("m") * 100 + F.month("m")).alias("p")).first()["p"]
-    return quarter_to_date(month_calendar(spark), run).select(F.lit(run).alias("prd_id"), "min_prd", "max_prd")
+    # the run period is two years before the last order
+    last = model.table(spark, d, "orders").agg(F.add_months(F.max("o_orderdate"), -24).alias("day"))
+    at = MONTHS.place(F.col("day"))
+    run = last.select(MONTHS.id_at(at).alias("prd_id"), MONTHS.id_at(MONTHS.quarter_end_before(at) + 1).alias("min_prd"))
+    return run.withColumn("max_prd", F.col("prd_id"))
 
 
 _UNBILLED = f"""ubl AS (SELECT *, bld_def_amt + bld_rec_amt AS billed,
@@ -441,6 +482,18 @@ def report_page(spark, d):
     return R.run_report(_report_lines(spark, d), LINE_SPEC).select(F.col("return_date").cast("string").alias("return_date"), "line_id", "ext_sll_prc")
 
 
+@query(
+    "report_totals", "RP14", "AG9",
+    sql=duck("lines", """SELECT CAST(rd AS VARCHAR) AS return_date, line_id, ext_sll_prc, ord_qty, false AS is_total FROM (SELECT *, CASE WHEN return_flag = 'R' THEN ship_date END AS rd FROM lines
+  ORDER BY rd ASC NULLS FIRST, ext_sll_prc DESC NULLS LAST, line_id LIMIT 10000)
+ UNION ALL SELECT NULL, NULL, CAST(sum(ext_sll_prc) AS DECIMAL(18,2)), CAST(sum(ord_qty) AS DECIMAL(18,2)), true FROM lines"""),
+)
+def report_totals(spark, d):
+    """A page of a report and the totals of all its rows."""
+    out = R.run_report(_report_lines(spark, d), replace(LINE_SPEC, totals=("ext_sll_prc", "ord_qty")))
+    return out.select(F.col("return_date").cast("string").alias("return_date"), "line_id", "ext_sll_prc", "ord_qty", "is_total")
+
+
 @query(
     "formatted_report", "SC20", "RP14",
     sql=duck("lines", """SELECT line_id, strftime(CASE WHEN return_flag = 'R' THEN ship_date END, '%d-%b-%Y') AS return_date, format('{:,.2f}', ext_sll_prc::DOUBLE) AS ext_sll_prc, format('{:,.1f}', ord_qty::DOUBLE) AS ord_qty,
