@@ -96,7 +96,7 @@ def _bit(lang: Column, term: Column) -> Column:
 def exact_docs(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(lang, term, docs): the documents that hold each of the ``wanted`` (lang, term), counted one by one.
 
-    Workers get a bit map of the wanted terms, of a fixed size; what passes it by chance falls out in the join.
+    The exact check of the few terms that the bounds leave open. Workers get a bit map of the wanted terms, of a fixed size; what passes it by chance falls out in the join.
     """
     bits = wanted.select(_bit(F.col("lang"), F.col("term")).alias("bit")).select((F.col("bit") / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("one"))
     words = bits.groupBy("word").agg(F.bit_or("one").alias("set")).toArrow()  # _BITS / 64 rows at most
@@ -105,7 +105,7 @@ def exact_docs(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     table = dense.tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[set, dict]] = {}  # by language: the chunks met, and the wanted terms of those that have any
+        known: dict[str, tuple[set, set]] = {}  # by language: the terms met, and those of them that the map has
         found: Counter = Counter()
         size = 0
 
@@ -115,19 +115,17 @@ def exact_docs(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang, value in zip(batch.column("lang").to_pylist(), batch.column("data"), strict=True):
-                met, wanted_of = known.setdefault(lang, (set(), {}))
-                chunks = set((value.as_py() or b"").split())
-                fresh = chunks - met
-                head = lang.encode() + b"\n"
-                for chunk in fresh:
-                    marks = ((t, zlib.crc32(head + t) % _BITS) for t in _TERM.findall(chunk.lower()))
-                    some = tuple(t for t, at in marks if table[at >> 3] >> (at & 7) & 1)
-                    if some:
-                        wanted_of[chunk] = some
+                met, open_terms = known.setdefault(lang, (set(), set()))
+                terms = set(_TERM.findall((value.as_py() or b"").lower()))
+                fresh = terms - met
+                head = zlib.crc32(lang.encode() + b"\n")
+                for term in fresh:
+                    at = zlib.crc32(term, head) % _BITS
+                    if table[at >> 3] >> (at & 7) & 1:
+                        open_terms.add(term)
                 met |= fresh
                 size += len(fresh)
-                here = {t for chunk in chunks & wanted_of.keys() for t in wanted_of[chunk]}
-                found.update((lang, t) for t in here)
+                found.update([(lang, t) for t in terms & open_terms])
             if size > _HELD:
                 known, size = {}, 0
             if len(found) > _HELD:
