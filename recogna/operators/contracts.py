@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recogna.functions.scalars import greatest_strict, replace_segment
 from recogna.functions.skew import attach
 from recogna.session import cut
+from recogna.sources.fiscal import FiscalCalendar
 
 # fixed values: sales actions and the license items whose dates are aligned
 DATED_ACTIONS = ("NEW", "UPGRADE", "DOWNGRADE", "RENEWAL")
@@ -236,6 +237,53 @@ def regroup(
     return status, detail
 
 
+# fixed values: the event whose rule treats regrouped lines, and the duration that ends with the open period
+NOT_IN_RANGE_EVENT = "NEW POB NOT WITHIN SSP RANGE"
+PERIOD_DURATION = "RC MODIFIED PERIOD"
+
+
+def modification_rule(events: DataFrame, durations: DataFrame, calendar: FiscalCalendar, open_prd: int) -> DataFrame:
+    """One row: rule_id, treatment and mod_date for regrouped lines, from the rule tables.
+
+    ``events``: id, name, treatment. ``durations``: mod_durn_type, hist_flag; the row that isn't history decides
+    whether a modification ends with the open period or with its quarter. Without a rule all are null.
+    """
+    at = next(i for i, p in enumerate(calendar.periods) if p.id == open_prd)
+    own = calendar.periods[at]
+    quarter_end = max(p.end for p in calendar.periods if (p.year, p.quarter) == (own.year, own.quarter))
+    rule = events.where(F.upper("name") == NOT_IN_RANGE_EVENT).agg(F.max("id").alias("rule_id"), F.max("treatment").alias("treatment"))
+    kind = durations.where("hist_flag = 'N'").agg(F.max(F.upper("mod_durn_type")).alias("kind"))
+    ends = F.when(F.col("kind") == PERIOD_DURATION, F.lit(own.end)).otherwise(F.lit(quarter_end))
+    return rule.crossJoin(kind).select("rule_id", "treatment", F.when(F.col("treatment").isNotNull(), ends).alias("mod_date"))  # one row each
+
+
+def regroup_by_rule(moves: DataFrame, contracts: DataFrame, lines: DataFrame, rule: DataFrame, open_prd: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Contract status, modification details and lines after the moves, as the rule has it.
+
+    Sources are closed. Where the rule has a treatment, destinations take it with its date and are posted, and every moved
+    line yields one detail row. Moved lines (line_id, rc_id, ...) belong to their destination; a line moves once, to the
+    smallest one, if several routes name it.
+    """
+    rule = F.broadcast(rule)  # one row
+    sources = moves.select(F.col("source_rc").alias("rc_id")).distinct().withColumn("_src", F.lit(True))
+    targets = moves.select(F.col("target_rc").alias("rc_id")).distinct().withColumn("_dst", F.lit(True))
+    rows = contracts.join(sources, "rc_id", "left").join(targets, "rc_id", "left").crossJoin(rule.withColumnRenamed("treatment", "_treatment"))
+    dst = F.coalesce("_dst", F.lit(False)) & F.col("_treatment").isNotNull()
+    status = rows.select(
+        "rc_id",
+        F.when(F.col("_src"), "Y").otherwise("N").alias("closed"),
+        F.when(dst, F.col("_treatment")).otherwise(F.col("treatment")).alias("treatment"),
+        F.when(dst, F.col("mod_date")).otherwise(F.col("ct_mod_end_dt")).alias("ct_mod_end_dt"),
+        F.when(dst, "Y").otherwise(F.col("posted")).alias("posted"),
+    )
+    detail = moves.crossJoin(rule).where("treatment IS NOT NULL").select(
+        F.col("target_rc").alias("rc_id"), "line_id", "rule_id", F.col("mod_date").alias("ct_mod_end_date"), "treatment", F.lit(open_prd).alias("crtd_prd_id")
+    )
+    target = moves.groupBy("line_id").agg(F.min("target_rc").alias("_target"))
+    regrouped = lines.join(target, "line_id", "left").withColumn("rc_id", F.coalesce("_target", "rc_id")).select(*lines.columns)
+    return status, detail, regrouped
+
+
 def upgrade_seeds(bills: DataFrame, keep: list[str]) -> DataFrame:
     """Upgrade invoices whose original invoice is an upgrade too, or is still running at their start."""
     inv = bills.where((F.col("type") == "INV") & (F.col("rc_id") > 0))

@@ -148,8 +148,8 @@ def period_snapshot(spark, d):
 )
 def prior_period_table(spark, d):
     pivoted = prior_period_pivot(model.schedules(spark, d), OPEN, 3, ["rc_id"])
-    path = _scratch(spark)
-    return sinks.materialise(pivoted, f"prior_periods_{path[-32:]}", path)
+    # a named table, which the next run replaces
+    return sinks.materialise(pivoted, "recogna_prior_periods", _scratch(spark))
 
 
 @query(

@@ -9,6 +9,7 @@ from recogna.operators import contracts as C
 from recogna.plans.duck import duck
 from recogna.plans.registry import query
 from recogna.sources import model
+from recogna.sources.fiscal import FiscalCalendar
 
 OPEN_END = "1999-06-30"
 
@@ -183,6 +184,43 @@ def regroup_details(spark, d):
     return detail.withColumn("ct_mod_end_date", F.col("ct_mod_end_date").cast("string"))
 
 
+_RULE = """mv AS (SELECT * FROM r6 UNION ALL SELECT * FROM r7), rule AS (SELECT 7 AS rule_id, 'R' AS treatment, DATE '1999-06-30' AS mod_date)"""
+
+
+def _by_rule(spark, d):
+    """Regrouping in May: the date rule that isn't history takes the end of the quarter."""
+    events = spark.sql("SELECT * FROM VALUES (5, 'Contract split', 'P'), (7, 'New POB not within SSP range', 'R') AS t(id, name, treatment)")
+    durations = spark.sql("SELECT * FROM VALUES ('RC Modified Period', 'Y'), ('RC Modified Quarter', 'N') AS t(mod_durn_type, hist_flag)")
+    rule = C.modification_rule(events, durations, FiscalCalendar.months(), 199905)
+    return C.regroup_by_rule(C.route_all(_routing_lines(spark, d)), model.contracts(spark, d), model.lines(spark, d, "line_id", "rc_id"), rule, 199905)
+
+
+@query(
+    "regroup_rule_status", "CM9",
+    sql=duck("lines contracts", """SELECT rc_id, CASE WHEN rc_id IN (SELECT source_rc FROM mv) THEN 'Y' ELSE 'N' END AS closed, CASE WHEN t THEN rule.treatment ELSE c.treatment END AS treatment,
+ CAST(CASE WHEN t THEN mod_date ELSE ct_mod_end_dt END AS VARCHAR) AS ct_mod_end_dt, CASE WHEN t THEN 'Y' ELSE posted END AS posted
+ FROM (SELECT *, rc_id IN (SELECT target_rc FROM mv) AS t FROM contracts) c, rule""", _ROUTES, _RULE),
+)
+def regroup_rule_status(spark, d):
+    return _by_rule(spark, d)[0].withColumn("ct_mod_end_dt", F.col("ct_mod_end_dt").cast("string"))
+
+
+@query(
+    "regroup_rule_details", "CM9",
+    sql=duck("lines", "SELECT target_rc AS rc_id, line_id, rule_id, CAST(mod_date AS VARCHAR) AS ct_mod_end_date, treatment, 199905 AS crtd_prd_id FROM mv, rule", _ROUTES, _RULE),
+)
+def regroup_rule_details(spark, d):
+    return _by_rule(spark, d)[1].withColumn("ct_mod_end_date", F.col("ct_mod_end_date").cast("string"))
+
+
+@query(
+    "regrouped_lines", "CM9",
+    sql=duck("lines", "SELECT l.line_id, coalesce(t, rc_id) AS rc_id FROM lines l LEFT JOIN (SELECT line_id, min(target_rc) AS t FROM mv GROUP BY line_id) m ON m.line_id = l.line_id", _ROUTES, _RULE),
+)
+def regrouped_lines(spark, d):
+    return _by_rule(spark, d)[2]
+
+
 _WALK = """inv AS (SELECT * FROM bills WHERE type = 'INV' AND rc_id > 0 AND doc_num <> coalesce(orig_doc_num, 'X')),
 seeds AS (SELECT rc_id AS seed_id, rc_id, orig_doc_num, start_date FROM inv a WHERE mod_flag = 'Y' AND sales_action = 'UPGRADE' AND (
   EXISTS (SELECT 1 FROM bills b WHERE b.doc_num = a.orig_doc_num AND b.sales_action = 'UPGRADE')

@@ -220,12 +220,16 @@ def line_billing(spark, d):
 
 @query(
     "revenue_insight", "RP11", "J1",
-    sql=duck("cal lines acct contracts", """SELECT b.rc_id, b.line_id, a.cal_prd_id, a.acct_name, b.t_price, b.cum_bill_amt, a.t_cum_revenue_utd, a.f_total_ending_balance, c.treatment, c.posted
+    sql=duck("cal lines acct contracts", f"""SELECT b.rc_id, b.line_id, b.contract_num, b.right_to_bill, a.cal_prd_id, a.acct_name, a.acct_segs, a.mje_flag, b.cum_bill_amt, b.f_cum_bill_amt, b.t_price, b.f_price, b.r_price,
+ {', '.join(f'a.{c}' for c in ACCOUNT_COLUMNS)}, c.treatment, c.posted
  FROM billing b JOIN accounts a ON b.line_id = a.root_line_id JOIN contracts c ON c.rc_id = b.rc_id""", _BILLED, _SUMMARY, _ACCOUNTS),
 )
 def revenue_insight(spark, d):
     out = R.revenue_insight(_billing(spark, d), R.account_summary(*_insight_inputs(spark, d)), model.contracts(spark, d).drop("contract_num"))
-    return out.select("rc_id", "line_id", "cal_prd_id", "acct_name", "t_price", "cum_bill_amt", "t_cum_revenue_utd", "f_total_ending_balance", "treatment", "posted")
+    return out.select(
+        "rc_id", "line_id", "contract_num", "right_to_bill", "cal_prd_id", "acct_name", "acct_segs", "mje_flag", "cum_bill_amt", "f_cum_bill_amt", "t_price", "f_price", "r_price",
+        *ACCOUNT_COLUMNS, "treatment", "posted",
+    )
 
 
 MONTHS = FiscalCalendar.months()
