@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -19,7 +20,9 @@ SEED = 20_240_501
 #: A unit vector's components are counted in these steps, so that sums don't depend on their order.
 STEPS = 1 << 20
 UNKNOWN = "und"
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Numbers that are neither letters nor decimal digits, such as superscripts, fractions and Roman numerals.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 _BLOCK = 2048
 
 
@@ -60,7 +63,7 @@ def bundles(texts: list[str]) -> np.ndarray:
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
-    """Language prototypes: the bundles of all labelled documents, summed by language, less the mean of the languages.
+    """Language prototypes: the bundles of all labelled documents, summed by language.
 
     Tasks sum what they read, one vector a language; sums are of whole numbers and therefore the same in any order.
     What reaches the driver is one vector a language. Rows without label, text or letters teach nothing.

@@ -147,9 +147,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_mark = stored(own.join(lowest, "root").select("fingerprint", "component_id"), "simhash-groups")
     out = attach(marks, of_mark, ["fingerprint"])
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose id names their group of near-duplicates, with all their columns."""
-    first = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)

@@ -76,8 +76,6 @@ def test_simhash(docs, rows, no_docs):
     want = Counter((r[0], f"{m:016x}", lowest[x]) for r, m, x in zip(rows, marks, root, strict=True))
     assert Counter(map(tuple, simhash.near_duplicates(docs).collect())) == want
     assert simhash.near_duplicates(no_docs).count() == 0
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i in lowest.values() if i is not None}
 
 
 def test_every_flip_of_up_to_three_bits_meets():
