@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -20,9 +19,7 @@ SEED = 20_240_501
 #: A unit vector's components are counted in these steps, so that sums don't depend on their order.
 STEPS = 1 << 20
 UNKNOWN = "und"
-#: Numbers that are neither letters nor decimal digits, such as superscripts, fractions and Roman numerals.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
 _BLOCK = 2048
 
 
@@ -32,6 +29,14 @@ def letter(code: int) -> np.ndarray:
     return np.random.default_rng([SEED, code]).integers(0, 2, DIM, dtype=np.int8) * 2 - 1
 
 
+def letters_of(text: str) -> str:
+    """The lower-cased text with one blank for whatever isn't a letter, and none at its ends."""
+    plain = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    if plain and not plain.replace(" ", "").isalpha():  # numbers that are no decimal digits, such as superscripts and fractions
+        plain = " ".join("".join(c if c.isalpha() else " " for c in plain).split())
+    return plain
+
+
 def bundles(texts: list[str]) -> np.ndarray:
     """One row for each text: the sum of its n-gram vectors, scaled to length 1 (0 without letters).
 
@@ -39,7 +44,7 @@ def bundles(texts: list[str]) -> np.ndarray:
     letters' vectors, each rotated by its place. Distinct n-grams are multiplied with their counts in blocks,
     so memory doesn't follow the number of n-grams.
     """
-    plain = [_NOT_LETTERS.sub(" ", t.lower()).strip() for t in texts]
+    plain = [letters_of(t) for t in texts]
     codes = [np.frombuffer(f" {p} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64) if p else np.zeros(0, np.int64) for p in plain]
     out = np.zeros((len(texts), DIM), np.float32)
     grams = [c[:-2] << 42 | c[1:-1] << 21 | c[2:] if len(c) >= GRAM else np.zeros(0, np.int64) for c in codes]
