@@ -41,7 +41,9 @@ def masked(data: bytes) -> int:
 
 
 def frame(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
-    """A record without its closing line feed, which the writer adds."""
+    """A record without its closing line feed, which the writer adds; an id that ``width`` can't hold is an error."""
+    if len(ids) and int(ids.max()) >> 8 * width:
+        raise ValueError(f"token id {ids.max()} takes more than {width} bytes")
     payload = _HEAD.pack(doc_id or 0, doc_id is None, width) + ids.astype(f"<u{width}").tobytes()
     size = struct.pack("<Q", len(payload))
     return size + _TAIL.pack(masked(size)) + payload + _TAIL.pack(masked(payload))
