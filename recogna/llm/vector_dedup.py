@@ -138,8 +138,8 @@ def near_vectors(embeddings: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
     models = {}
     for r in vectors.groupBy("size").count().collect():  # one row for each vector length
         some = vectors.where(F.col("size") == r["size"]).select("embedding", F.xxhash64("embedding").alias("h"))
-        share = min(1.0, FIT_ROWS / r["count"])
-        some = some.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("h").limit(2 * FIT_ROWS).collect()
+        share, parts = min(1.0, FIT_ROWS / r["count"]), 1 << max(20, r["count"].bit_length())  # finer than one vector a part
+        some = some.where(F.pmod("h", F.lit(parts)) < int(share * parts)).orderBy("h").limit(2 * FIT_ROWS).collect()
         fitted = np.array([s["embedding"] for s in some], np.float64) if some else np.eye(r["size"])
         models[r["size"]] = fit_codes(_unit(fitted), TABLES * TABLE_BITS)
     coded = stored(codes(vectors, models), "vectors-codes")
