@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,3 +84,32 @@ def with_row_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 ROW_KEY = ["_id", "_mark"]
+
+
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with free names for its columns that are called like ``names`` (in any case), begin with ``_`` or are no
+    plain words, and the map back to their own names. Without such columns ``docs`` comes back as it is."""
+    reserved = {n.lower() for n in names}
+    taken = {c.lower() for c in docs.columns} | reserved
+    free = (name for k in count() if (name := f"aside{k}") not in taken)
+    other = {c: next(free) for c in docs.columns if c.lower() in reserved or not re.fullmatch("[A-Za-z][A-Za-z0-9_]*", c)}
+    return (docs.withColumnsRenamed(other) if other else docs), {new: old for old, new in other.items()}
+
+
+def renamed_back(out: DataFrame, own: dict[str, str]) -> DataFrame:
+    return out.withColumnsRenamed(own) if own else out
+
+
+def clash_free(*names: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """For operators that return the columns of their table: those called like ``names``, which the operator uses
+    for itself, or beginning with ``_`` have other names while it works and come back as they were."""
+
+    def decorate(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            rows, own = aside(docs, *names)
+            return renamed_back(operator(rows, *args, **kwargs), own)
+
+        return run
+
+    return decorate

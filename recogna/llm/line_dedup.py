@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recogna.llm.common import ROW_KEY, WHITE, ascii_lower, scratch, stored, with_row_key
+from recogna.llm.common import ROW_KEY, WHITE, ascii_lower, clash_free, scratch, stored, with_row_key
 
 MIN_DOCS = 10
 BATCHES = 4
@@ -77,6 +77,7 @@ class LineRuns:
             level += 1
 
 
+@clash_free()
 def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """All columns of ``docs``, the text without the lines whose key at least ``min_docs`` documents hold, and
     ``n_lines`` (before) and ``n_dropped``.
@@ -88,7 +89,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int
 
     Null text becomes empty, one empty line; lines of white space are never dropped, and a document
     keeps its row when all its lines go. Repeated rows count as documents each. Columns of ``docs`` named
-    ``n_lines`` or ``n_dropped`` are replaced.
+    ``n_lines`` or ``n_dropped`` are replaced; all others come back whatever they are called.
     """
     spark = docs.sparkSession
     rows = with_row_key(docs.drop("n_lines", "n_dropped"))

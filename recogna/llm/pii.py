@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recogna.functions.skew import attach
-from recogna.llm.common import ROW_KEY, stored, with_row_key
+from recogna.llm.common import ROW_KEY, clash_free, stored, with_row_key
 
 # What is detected. Every pattern starts where no such character stands before it and has
 # bounded or possessive repeats, so a long run of one character is read once.
@@ -192,6 +192,7 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             return done
 
 
+@clash_free()
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """All columns of ``docs``, the text with surrogates, and ``n_replaced``.
 
@@ -201,7 +202,7 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     cut at its mentions and put together again, so nothing else in it changes.
 
     Null text stays null with 0 replaced; repeated rows are replaced alike. A column of ``docs`` named
-    ``n_replaced`` is replaced. The same key gives the same surrogates for the same corpus.
+    ``n_replaced`` is replaced; all others come back whatever they are called. The same key gives the same surrogates for the same corpus.
     """
     rows = with_row_key(docs.drop("n_replaced"))
     found = rows.select(*ROW_KEY, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found")).where(F.size("found") > 0)

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recogna.llm.common import WHITE, WHITE_RUN, stored
+from recogna.llm.common import WHITE, WHITE_RUN, clash_free, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: Documents on which costs and selectivities of rules are estimated.
 SAMPLE = 2_000
+RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 
 @dataclass(frozen=True)
@@ -101,16 +102,16 @@ def ordered_rules(docs: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> l
     return [rules[at] for _, at in sorted(rank)]
 
 
+@clash_free()
 def judged(docs: DataFrame, rules: list[Rule] | None = None, sample: int = SAMPLE) -> DataFrame:
     """All columns of ``docs``, the counts of ``with_counts``, ``base_failed`` and ``kept``.
 
     ``kept`` is one conditional chain: the base counts first, then the rules in their order, each only if all
     before it passed. Null text has no words and fails the base. Everything happens row by row, without a
     shuffle, so copies, hot sources and repeated ids don't matter; columns of ``docs`` with
-    the names of results are replaced.
+    the names of results are replaced, all others come back whatever they are called.
     """
-    results = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    rows = docs.drop(*results)
+    rows = docs.drop(*RESULTS)
     counted = with_counts(rows)
     rules = default_rules() if rules is None else rules
     chain = F.when(base_failed(), False)
@@ -119,4 +120,4 @@ def judged(docs: DataFrame, rules: list[Rule] | None = None, sample: int = SAMPL
         chain = chain.when(rule.fails, False)
     out = counted.withColumn("base_failed", base_failed()).withColumn("kept", chain.otherwise(True))
     # a row of one struct: a filter on the results stays above and doesn't copy all that they are made of
-    return out.select(*rows.columns, F.inline(F.array(F.struct(*results))))
+    return out.select(*rows.columns, F.inline(F.array(F.struct(*RESULTS))))

@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recogna.llm import language, line_dedup, packing, pii, piece_lattice, quality, simhash, token_records
-from recogna.llm.common import scratch, stored
+from recogna.llm import language, line_dedup, near_copies, packing, pii, piece_lattice, quality, simhash, token_records
+from recogna.llm.common import known_to_workers, scratch, stored
 from recogna.llm.queries import tokenizer_path
 
 WHITE = " \t\n\x0b\f\r"
@@ -283,3 +284,35 @@ def test_text_hashes_in_sql(spark):
         assert sorted(names) == sorted(got.columns)
         assert Counter(map(tuple, got.select(names).collect())) == Counter(want.fetchall())
     assert hashlib.sha256(b"").hexdigest()
+
+
+CLASHING = ["_id", "_MARK", "_lines", "_places", "_puts", "_row", "_words", "_n_lines", "_windows", "_placed", "found", "entity", "key", "a.b", "with blank"]
+
+
+@pytest.mark.parametrize("operator", [line_dedup.drop_frequent_lines, lambda d: pii.replace_pii(d, "key"), quality.judged, near_copies.keep_one])
+def test_clashing_columns_come_back(spark, docs, operator):
+    known_to_workers(spark)
+    small = docs.select("doc_id", "text", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(c) for c in CLASHING])
+    out, plain = operator(small), operator(docs.select("doc_id", "text"))
+    assert out.columns == small.columns + [c for c in plain.columns if c not in ("doc_id", "text")]
+    got = out.collect()
+    assert all(r[2 + k] == f"{c} {-1 if r.doc_id is None else r.doc_id}" for r in got for k, c in enumerate(CLASHING))
+    rest = [0, 1, *range(2 + len(CLASHING), len(out.columns))]
+    assert Counter(tuple(r[k] for k in rest) for r in got) == Counter(map(tuple, plain.collect()))
+
+
+def test_stages_return_columns_called_like_results(spark, docs):
+    known_to_workers(spark)
+    names = ["n_words", "Kept", "base_failed", "n_lines", "n_dropped", "n_replaced", "_row", "_id"]
+    small = docs.select("doc_id", "text", "n_chars", *[F.lit(f"own {c}").alias(c) for c in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, small, "")
+        assert out.columns == small.columns
+        got = out.collect()
+        assert got and all(list(r[3:]) == [f"own {c}" for c in names] for r in got)
+
+
+def test_an_id_wider_than_its_field_is_an_error():
+    with pytest.raises(ValueError, match="70000"):
+        token_records.frame(1, np.array([5, 70_000], np.uint32), 2)
+    assert list(token_records.unframe(memoryview(token_records.frame(1, np.array([5, 70_000], np.uint32), 4)), 0)[1]) == [5, 70_000]
