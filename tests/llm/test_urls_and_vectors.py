@@ -44,6 +44,46 @@ def test_url_features(spark):
     assert (r.depth, r.host_labels, r.parameters, r["last"], r.last_two) == (2, 3, 2, "net", "b.net") and abs(r.entropy - entropy) < 1e-9
 
 
+def test_repeated_urls_and_small_samples(spark):
+    """Two labelled URLs with many copies, and samples smaller than the labels: every page gets a verdict."""
+    urls = ["https://a.com/x"] * 60 + ["https://b.net/es/1"] * 60 + ["https://c.org/1", "https://d.net/de/7", None]
+    pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], PAGES)
+    for most in (1, 5, 1000):
+        out = url_filter.judged(pages, URL_RULES, most).collect()
+        assert len(out) == len(urls) and {r.verdict for r in out} <= {"allow", "block"}
+        assert all(r.verdict == ("allow" if r.url == urls[0] else "block") for r in out if r.rule)
+
+
+def test_rates_count_all_labelled_pages(spark):
+    urls = ["https://a.com/x"] * 5 + ["https://b.net/es/1"] * 3 + [f"https://h{i}.net/fr/{i}" for i in range(40)] + ["https://n.net/x"]
+    parsed = spark.createDataFrame([(u,) for u in urls], "url string")
+    parsed = parsed.withColumns({"host": url_filter.host_of(parsed.url), "path": url_filter.path_of(parsed.url)})
+    parsed = parsed.withColumns({k: url_filter.matched(parsed.host, parsed.path, URL_RULES, v) for k, v in (("rule", "text"), ("_ruled", "verdict"))})
+    labelled = url_filter.labelled_urls(parsed)
+    rates = {tuple(r) for r in url_filter.suffix_rates(url_filter.with_features(labelled), "last").collect()}
+    assert rates == {("com", 1 / 7), ("net", 44 / 45)}
+    sample = url_filter.training_sample(labelled, {0.0: 5, 1.0: 43}, 8).collect()
+    assert sorted(r.label for r in sample) == [0.0, 1.0, 1.0, 1.0, 1.0]
+    assert abs(sum(r.weight for r in sample) - 5) < 1e-9 and abs(sum(r.weight for r in sample if not r.label) - 5 * 5 / 48) < 1e-9
+
+
+def test_learned_verdicts_follow_the_labels(spark):
+    """Pages that no rule decides are judged like labelled ones of their host's ending."""
+    urls = [f"https://s{i}.{'example.com' if i % 2 else 'site.net'}/{('en', 'es', 'fr')[i % 3]}/{i}" for i in range(300)]
+    out = url_filter.judged(spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], PAGES), URL_RULES).collect()
+    free = [r for r in out if r.rule is None]
+    assert len(free) == 50 and all(r.host.endswith(".net") and r.verdict == "block" for r in free)
+
+
+def test_clashing_page_columns_come_back(spark):
+    names = [*url_filter.FEATURES, "last", "Features", "prediction", "probability", "label", "weight", "copies", "_ruled", "_key_hash", "a.b"]
+    rows = [(u, *[f"{k}{i}" for k in range(len(names))]) for i, u in enumerate(["https://a.com/x", "https://b.net/es/1", "https://c.org/1"])]
+    pages = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in ["url", *names]))
+    out = url_filter.judged(pages, URL_RULES)
+    assert out.columns == ["url", *names, *url_filter.RESULTS]
+    assert {tuple(r)[: len(rows[0])] for r in out.collect()} == set(rows)
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 32))
