@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recogna.functions.scalars import greatest_strict, replace_segment
 from recogna.functions.skew import attach
-from recogna.session import cut
+from recogna.session import cut, keep_dealt
 from recogna.sources.fiscal import FiscalCalendar
 
 # fixed values: sales actions and the license items whose dates are aligned
@@ -306,11 +306,13 @@ def lineage(bills: DataFrame, seeds: DataFrame) -> DataFrame:
     ``seeds``: seed_id, rc_id, orig_doc_num, start_date.  A referenced invoice joins while
     it ends no earlier than its child starts and belongs to another contract.  Each seed
     visits an invoice once, so the walk ends on cyclic references too.  One level is one
-    join; levels are cut with checkpoints so lost executors do not replay the whole walk.
+    join; levels are cut with checkpoints so lost executors do not replay the whole walk.  Invoices are
+    dealt and sorted by number once, so a level shuffles what it follows, not all invoices again.
     """
     inv = bills.where(
         (F.col("type") == "INV") & (F.col("rc_id") > 0) & (F.col("doc_num") != F.coalesce("orig_doc_num", F.lit("X")))
-    ).select("doc_num", "orig_doc_num", "rc_id", "start_date", "end_date").distinct()
+    ).select("doc_num", "orig_doc_num", "rc_id", "start_date", "end_date")
+    inv = keep_dealt(inv, "doc_num")
 
     def follow(frontier: DataFrame) -> DataFrame:
         child = frontier.select("seed_id", F.col("orig_doc_num").alias("doc_num"), F.col("rc_id").alias("_child_rc"), F.col("start_date").alias("_child_start"))
@@ -330,6 +332,7 @@ def lineage(bills: DataFrame, seeds: DataFrame) -> DataFrame:
             follow(level.where("orig_doc_num IS NOT NULL")).join(visited, ["seed_id", "doc_num", "rc_id"], "left_anti")
         )
         found.append(level.withColumn("depth", F.lit(depth)))
+    inv.unpersist()  # every level is stored
     return reduce(DataFrame.unionByName, found).select("seed_id", "doc_num", "orig_doc_num", "rc_id", "depth")
 
 
