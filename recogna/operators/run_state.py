@@ -55,8 +55,12 @@ class RunState:
         A moved line counts as never processed, so without a value it stays out.
         """
         unset = F.lit(-999).cast("decimal(18,2)")
-        last = self.processed().select("line_id", F.col("rc_id").alias("_rc"), F.col("value").alias("_value"))
-        rows = lines.join(last, "line_id", "left").join(F.broadcast(self.mark()), F.lit(True))
+        if stored_or_none(self.spark, f"{self.path}/values", f"{_VALUES}, run long") is None:
+            known = lines.select("*", F.lit(None).cast("long").alias("_rc"), F.lit(None).cast("decimal(18,2)").alias("_value"))  # the first run shuffles nothing
+        else:
+            last = self.processed().select("line_id", F.col("rc_id").alias("_rc"), F.col("value").alias("_value"))
+            known = lines.join(last, "line_id", "left")
+        rows = known.join(F.broadcast(self.mark()), F.lit(True))
         value, before = F.coalesce("value", unset), F.coalesce("_value", unset)
         moved = (F.to_date("updated_at") >= F.to_date("mark")) & (F.col("rc_id") != F.col("_rc")) & (F.col("rc_id") != 0) & (value != unset)
         reason = F.when(moved, "MOVED").when(value != before, "CHANGED")
