@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from recogna.llm.common import stored, text_batches, widened
 
+Batches = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 BLANK = "▁"
 #: Words of the lattice: the most frequent ones, at most so many and so long, so what is broadcast is bounded.
 LATTICE_WORDS = 1 << 17
@@ -160,16 +161,9 @@ def frequent_words(docs: DataFrame, most: int = LATTICE_WORDS, longest: int = LA
     return counts.where(F.lit(False) if least is None else F.col("n") >= least).select("word")
 
 
-def encoded(docs: DataFrame, pieces: Pieces, most: int = LATTICE_WORDS) -> DataFrame:
-    """All columns of ``docs`` and ``ids``, array of int, the ids of the whole text.
-
-    The corpus's frequent words are encoded over the lattice and broadcast to the tasks, which encode the rarer
-    words by the same merging and put texts together. Texts never leave their partition, so long texts,
-    copies and hot sources only cost their own words. Null and empty texts have no ids. A column of
-    ``docs`` named ``ids`` is replaced.
-    """
-    spark = docs.sparkSession
-    rows = docs.drop("ids")
+def _encoding(rows: DataFrame, pieces: Pieces, most: int) -> Batches:
+    """What encodes the batches of a task: the corpus's frequent words are encoded over the lattice and broadcast."""
+    spark = rows.sparkSession
     longest = max(len(p) for p, _, _ in pieces.rows)
     paths = merged_paths(lattice(frequent_words(rows.select("text"), most), pieces.frame(spark), longest))
     costs = {p: -s for p, s, _ in pieces.rows}
@@ -200,7 +194,19 @@ def encoded(docs: DataFrame, pieces: Pieces, most: int = LATTICE_WORDS) -> DataF
             ids = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(np.frombuffer(b"".join(every), "<i4"))).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
 
-    return rows.mapInArrow(run, widened(rows.schema, ids="array<int>"))
+    return run
+
+
+def encoded(docs: DataFrame, pieces: Pieces, most: int = LATTICE_WORDS) -> DataFrame:
+    """All columns of ``docs`` and ``ids``, array of int, the ids of the whole text.
+
+    The corpus's frequent words are encoded over the lattice and broadcast to the tasks, which encode the rarer
+    words by the same merging and put texts together. Texts never leave their partition, so long texts,
+    copies and hot sources only cost their own words. Null and empty texts have no ids. A column of
+    ``docs`` named ``ids`` is replaced.
+    """
+    rows = docs.drop("ids")
+    return rows.mapInArrow(_encoding(rows, pieces, most), widened(rows.schema, ids="array<int>"))
 
 
 def decode_ids(ids: np.ndarray, table: list[bytes]) -> str:
@@ -219,11 +225,8 @@ def byte_table(pieces: Pieces) -> list[bytes]:
     return table
 
 
-def decoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """All columns of ``docs`` with ``decoded``, the text of ``ids``, and ``ids_crc32`` of them as little-endian
-    unsigned 32-bit numbers. No ids give an empty text; null ids count as none."""
+def _decoding(pieces: Pieces) -> Batches:
     table = byte_table(pieces)
-    rows = docs.drop("decoded", "ids_crc32")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,4 +237,23 @@ def decoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
                 crcs = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string()), pa.array(crcs, pa.int64())], [*part.schema.names, "decoded", "ids_crc32"])
 
-    return rows.mapInArrow(run, widened(rows.schema, decoded="string", ids_crc32="long"))
+    return run
+
+
+def decoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """All columns of ``docs`` with ``decoded``, the text of ``ids``, and ``ids_crc32`` of them as little-endian
+    unsigned 32-bit numbers. No ids give an empty text; null ids count as none."""
+    rows = docs.drop("decoded", "ids_crc32")
+    return rows.mapInArrow(_decoding(pieces), widened(rows.schema, decoded="string", ids_crc32="long"))
+
+
+def round_trip(docs: DataFrame, pieces: Pieces, most: int = LATTICE_WORDS) -> DataFrame:
+    """What ``decoded`` gives of ``encoded``, in one pass: a task needs one Python worker, not two, and texts and ids
+    don't go through the JVM between the two steps."""
+    rows = docs.drop("ids", "decoded", "ids_crc32")
+    encode, decode = _encoding(rows, pieces, most), _decoding(pieces)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decode(encode(batches))
+
+    return rows.mapInArrow(run, widened(rows.schema, ids="array<int>", decoded="string", ids_crc32="long"))

@@ -50,8 +50,7 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and, from them, the text again: number and checksum of the ids, hash of the decoded text."""
     pieces = piece_lattice.Pieces.load(tokenizer_path("pieces"))
-    ids = piece_lattice.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
-    out = piece_lattice.decoded(ids, pieces)
+    out = piece_lattice.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), same.alias("round_trip"))
 

@@ -180,6 +180,15 @@ def test_pieces(docs, rows, no_docs):
     assert piece_lattice.encoded(no_docs, pieces).count() == 0
 
 
+def test_encoding_and_decoding_in_one_pass(spark, docs, rows):
+    pytest.importorskip("sentencepiece")
+    pieces = piece_lattice.Pieces.load(tokenizer_path("pieces"))
+    one = piece_lattice.round_trip(docs, pieces, most=300)
+    two = piece_lattice.decoded(piece_lattice.encoded(docs, pieces, most=300), pieces)
+    assert one.schema == two.schema and Counter(map(repr, one.collect())) == Counter(map(repr, two.collect()))
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_viterbi_finds_the_best_path(spark):
     table = [("a", -1.0, 0), ("b", -1.5, 1), ("ab", -2.0, 2), ("abc", -5.0, 3), ("bc", -1.2, 4), ("cab", -2.2, 5)]
     words = ["abc", "abcab", "a", "xab", "cabcab"]
