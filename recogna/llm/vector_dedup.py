@@ -83,13 +83,14 @@ def candidates(coded: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, that some table has at most one bit apart, each once.
 
     Every vector is entered under its key in each table and looks under its key and all keys one bit away. A pair
-    that several tables find counts in the first of them, so pairs need no second shuffle.
+    that several tables find counts in the first of them, so pairs need no second shuffle. Spark sizes exploded rows like
+    those they come from, here up to 130 times too low, so neither side may be broadcast on that estimate.
     """
     entered = coded.select("label", "size", F.posexplode("keys").alias("table", "key"), F.col("rep").alias("a"), F.col("keys").alias("keys_a"))
     probing = coded.select("label", "size", F.posexplode("keys").alias("table", "own"), F.col("rep").alias("b"), F.col("keys").alias("keys_b"))
     flips = F.lit([0, *(1 << b for b in range(TABLE_BITS))]).cast("array<long>")
     probing = probing.withColumn("flip", F.explode(flips)).withColumn("key", F.col("own").bitwiseXOR(F.col("flip"))).drop("own", "flip")
-    met = entered.join(probing, ["label", "size", "table", "key"]).where("a < b")
+    met = entered.join(probing.hint("merge"), ["label", "size", "table", "key"]).where("a < b")
     earlier = F.exists(
         F.zip_with("keys_a", "keys_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         lambda d: d <= 1,
@@ -99,9 +100,10 @@ def candidates(coded: DataFrame) -> DataFrame:
 
 
 def linked(pairs: DataFrame, vectors: DataFrame, min_cosine: float) -> DataFrame:
-    """The pairs whose cosine, in double precision, is at least ``min_cosine``."""
-    left = vectors.select(F.col("rep").alias("a"), F.col("embedding").alias("x"))
-    right = vectors.select(F.col("rep").alias("b"), F.col("embedding").alias("y"))
+    """The pairs whose cosine, in double precision, is at least ``min_cosine``. Vectors are not broadcast: Spark counts an
+    array as one component."""
+    left = vectors.select(F.col("rep").alias("a"), F.col("embedding").alias("x")).hint("merge")
+    right = vectors.select(F.col("rep").alias("b"), F.col("embedding").alias("y")).hint("merge")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -135,3 +135,19 @@ def test_negative_zero_components_keep_their_result(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
     got = {tuple(r) for r in vector_dedup.near_vectors(frame).collect()}
     assert got == {(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)}
+
+
+def test_exploded_keys_and_vectors_are_not_broadcast(spark, tmp_path):
+    """Spark's estimate of exploded rows and of arrays is far too low, and small tables show it as well."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        spark.createDataFrame([(i, 1, 2, [i % 3, 7, i, 9, 11]) for i in range(20)], "rep long, label int, size int, keys array<long>").write.parquet(f"{tmp_path}/coded")
+        spark.createDataFrame([(i, [1.0, float(i % 4)]) for i in range(20)], "rep long, embedding array<double>").write.parquet(f"{tmp_path}/vectors")
+        coded, vectors = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("coded", "vectors"))
+        pairs = vector_dedup.candidates(coded)
+        for frame in (pairs, vector_dedup.linked(pairs, vectors, 0.98)):
+            assert frame.count() > 0
+            assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
